@@ -222,7 +222,7 @@ CROSS_SQL = """
         CASE WHEN n7 >= 10 AND r7 IS NOT NULL THEN round(k7 / n7, 6) END AS ret_rank_7d, CASE WHEN nv >= 10 AND vr IS NOT NULL THEN round(kv / nv, 6) END AS vol_rank_1d,
         round(cm, 6) + 0.0 AS cap_momentum, round(above / n, 6) AS breadth_20d,
         round(CASE WHEN dec > 0 THEN CASE WHEN adv > 0 THEN greatest(-3.0, least(3.0, ln(adv / dec))) ELSE -3.0 END WHEN adv > 0 THEN 3.0 ELSE 0.0 END, 6) + 0.0 AS advance_decline,
-        CASE WHEN n1 >= 10 THEN round(disp, 8) END AS dispersion, CASE WHEN n >= 10 THEN round(hhi, 8) END AS hhi_volume
+        CASE WHEN n1 >= 10 THEN round(disp, 8) END AS dispersion, CASE WHEN n >= 10 THEN round(hhi + 1e-13, 8) END AS hhi_volume
         FROM g WHERE pos >= 20 AND n >= 10)"""
 
 
