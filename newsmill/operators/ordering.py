@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from newsmill.session import materialize
+
 BLOCKS = 64
 
 
@@ -45,7 +47,11 @@ def block_of(x, bounds: list) -> Column:
 
 def order_blocks(df: DataFrame, first: str, second: str | None = None, name: str = "block", blocks: int = BLOCKS) -> DataFrame:
     """Add a block number that follows the order (first, second).  Rows equal to a bound of ``first`` are
-    cut further along ``second``, so one hot value of ``first`` is spread as well."""
+    cut further along ``second``, so one hot value of ``first`` is spread as well.
+
+    The rows are materialised first: choosing the bounds and the branches that follow share one run of
+    everything upstream."""
+    df = materialize(df)
     bounds = quantile_bounds(df, *[c for c in (first, second) if c], blocks=blocks)
     block = block_of(first, bounds[0])
     if second and bounds[1]:
@@ -78,7 +84,11 @@ def value_ranks(df: DataFrame, x: str, block: str = "__block") -> DataFrame:
     Returns (x, n, rank, centred): equal values are counted before the first shuffle; ``centred`` is the
     rank minus the mean rank."""
     counts = df.filter(F.col(x).isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("n"))
-    cut = order_blocks(counts, x, None, block)
+    return ranks_of_counts(order_blocks(counts, x, None, block), x, block)
+
+
+def ranks_of_counts(cut: DataFrame, x: str, block: str) -> DataFrame:
+    """As :func:`value_ranks`, from (x, n, block) rows with one row per value."""
     totals = cut.groupBy(block).agg(F.sum("n").alias("m"))
     offsets = totals.select(
         block,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from newsmill.operators.ordering import avg_rank, running_sums, value_ranks
+from newsmill.operators.ordering import avg_rank, block_of, quantile_bounds, ranks_of_counts, running_sums
 from newsmill.plans.market import DAY
+from newsmill.session import materialize
 
 
 def spearman_ic(df: DataFrame, signal: str, ret: str, least: int = 10, name: str = "ic") -> DataFrame:
@@ -16,9 +17,14 @@ def spearman_ic(df: DataFrame, signal: str, ret: str, least: int = 10, name: str
     AQE splits when one value dominates."""
     pairs = df.filter(F.col(signal).isNotNull() & F.col(ret).isNotNull()).select(
         F.col(signal).cast("double").alias("x"), F.col(ret).cast("double").alias("y"))
-    rx = value_ranks(pairs, "x").select("x", F.col("centred").alias("rx"))
-    ry = value_ranks(pairs, "y").select("y", F.col("centred").alias("ry"))
-    counted = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    counted = materialize(pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
+    bounds = dict(zip("xy", quantile_bounds(counted, "x", "y")))
+
+    def side(c):
+        values = counted.groupBy(c).agg(F.sum("n").alias("n")).withColumn("block", block_of(c, bounds[c]))
+        return ranks_of_counts(values, c, "block").select(c, F.col("centred").alias(f"r{c}"))
+
+    rx, ry = side("x"), side("y")
     n = F.col("n")
     m = counted.join(rx, "x").join(ry, "y").agg(
         F.sum("n").alias("n"), F.sum(n * F.col("rx") * F.col("ry")).alias("xy"),
@@ -44,7 +50,7 @@ def ic_summary(daily: DataFrame) -> DataFrame:
     return daily.agg(
         F.count("ic").alias("days"), mean.alias("ic_mean"), std.alias("ic_std"),
         F.round(F.try_divide(mean, std), 4).alias("icir"),
-        F.round(F.try_divide(100.0 * F.count_if(F.col("ic") > 0), F.count("ic")), 4).alias("positive_pct"),
+        F.round(F.try_divide(100.0 * F.count_if(F.col("ic") > 1e-12), F.count("ic")), 4).alias("positive_pct"),
     )
 
 
@@ -183,6 +189,7 @@ def quartile_curve(df: DataFrame, signal: str, ret: str, least: int = 20, day: s
 
 def ic_by_horizon(df: DataFrame, signal: str, rets: dict) -> DataFrame:
     """One IC per horizon; ``rets`` maps horizon name -> return column."""
+    df = materialize(df.select(signal, *rets.values()))
     parts = [spearman_ic(df, signal, col, least=2).select(F.lit(h).alias("horizon"), F.round("ic", 4).alias("ic"))
              for h, col in rets.items()]
     out = parts[0]
@@ -208,7 +215,8 @@ def long_form(metrics: DataFrame) -> DataFrame:
 
 def full_eval(df: DataFrame, signal: str, truth: str, pred: str, rets=("forward_ret_1d", "forward_ret_3d", "forward_ret_7d"),
               n: int = 20, day: str = DAY, entity="entity") -> DataFrame:
-    """Every metric of a scored table as (metric, value) rows."""
+    """Every metric of a scored table as (metric, value) rows (the table is materialised once)."""
+    df = materialize(df.select(*dict.fromkeys([entity, day, signal, truth, pred, *rets])))
     parts = [spearman_ic(df, signal, r, name=f"ic_{r.split('_')[-1]}") for r in rets]
     roll = rolling_ic_summary(rolling_ic(df, signal, rets[1], day=day))
     parts += [

@@ -35,7 +35,7 @@ def signal_table(probs: DataFrame, regime: DataFrame, entity="entity", model="mo
     """Class probabilities (p_sell, p_hold, p_buy) per entity and day -> gated, z-scored signals."""
     p = F.array("p_sell", "p_hold", "p_buy")
     rows = probs.withColumns({
-        "raw_score": F.round(F.col("p_buy") - F.col("p_sell"), 6),
+        "raw_score": F.col("p_buy") - F.col("p_sell"),
         "direction": (F.array_position(p, F.array_max(p)) - 2).cast("int"),
         "confidence": F.round(F.array_max(p), 6),
     })
@@ -44,7 +44,7 @@ def signal_table(probs: DataFrame, regime: DataFrame, entity="entity", model="mo
         "signal_score",
         F.round(M.regime_gate("raw_score", "regime_state", F.coalesce("regime_confidence", F.lit(0.0))), 6),
     )
-    return history_zscore(rows, entity, model)
+    return history_zscore(rows, entity, model).withColumn("raw_score", F.round("raw_score", 6))
 
 
 def select_candidates(signals: DataFrame, tradeable: list | None, long_above: float, short_below: float,

@@ -260,12 +260,12 @@ def _(v):
 
 
 BENCH_SQL = """
-    q AS (SELECT date, close, volume, close / lag(close) OVER w - 1 AS mom_1d, close / lag(close, 3) OVER w - 1 AS mom_3d, close / lag(close, 7) OVER w - 1 AS mom_7d
+    bq AS (SELECT date, close, volume, close / lag(close) OVER w - 1 AS mom_1d, close / lag(close, 3) OVER w - 1 AS mom_3d, close / lag(close, 7) OVER w - 1 AS mom_7d
           FROM v_daily_bars WHERE entity = 's00' WINDOW w AS (ORDER BY date)),
     bench AS (SELECT *, CASE WHEN count(mom_1d) OVER w7 = 7 THEN stddev_samp(mom_1d) OVER w7 END AS vol_7d,
                  CASE WHEN count(mom_1d) OVER w30 = 30 THEN stddev_samp(mom_1d) OVER w30 END AS vol_30d,
                  CASE WHEN count(close) OVER w7 = 7 THEN avg(close) OVER w7 END AS sma_7, CASE WHEN count(close) OVER w20 = 20 THEN avg(close) OVER w20 END AS sma_20
-              FROM q WINDOW w7 AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), w30 AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW),
+              FROM bq WINDOW w7 AS (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), w30 AS (ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW),
                             w20 AS (ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))"""
 REGIME_SQL = f"""{BENCH_SQL}, {BREADTH_SQL},
     rs AS (SELECT q.*, CASE WHEN vol_30d > 0 THEN vol_7d / vol_30d ELSE 1 END AS vr, coalesce(i.market_index, 50) AS fg, coalesce(breadth.breadth, 0.5) AS br

@@ -66,7 +66,7 @@ SQL_VIEWS = {
         f"LEFT JOIN v_daily_bars b{k} ON b{k}.entity = a.entity AND b{k}.date = a.date + {k}"
         for k in (1, 2, 3, 4, 5, 7, 8, 9, 14, 15, 16)) + ")",
     "v_signals": """
-        SELECT b.entity, b.date, round(b.discount - 0.05, 6) AS signal_score, 1 AS model_id,
+        SELECT b.entity, b.date, round(b.discount - 0.05, 6) + 0.0 AS signal_score, 1 AS model_id,
                l.r1 AS forward_ret_1d, l.r3 AS forward_ret_3d, l.r7 AS forward_ret_7d, l.label_3d,
                CASE WHEN round(b.discount - 0.05, 6) > 0.01 THEN 1 WHEN round(b.discount - 0.05, 6) < -0.01 THEN -1 ELSE 0 END AS pred
         FROM v_daily_bars b JOIN v_labels l ON l.entity = b.entity AND l.date = b.date""",
@@ -76,13 +76,13 @@ SQL_VIEWS = {
     "v_trades": """
         SELECT o_orderkey AS id, c_mktsegment AS entity, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'industry' ELSE 'consumer' END AS category,
                upper(left(c_mktsegment, 4)) AS symbol, CASE WHEN o_orderkey % 2 = 0 THEN 'BUY' ELSE 'SHORT' END AS direction,
-               o_totalprice / 1000 AS entry_price, o_totalprice / 1000 * (1 + (o_orderkey % 37 - 18) / 200.0) AS exit_price,
+               o_totalprice / 1000 AS entry_price, o_totalprice / 1000 * (1 + (o_orderkey % 37 - 18) / 173.0) AS exit_price,
                1000000 / o_totalprice AS quantity, CAST(1000 + (o_custkey % 5) * 100 AS DOUBLE) AS usdt_size,
                (o_custkey % 21 - 10) / 100.0 AS signal_score,
                CASE left(o_orderpriority, 1) WHEN '1' THEN 'bull_trend' WHEN '2' THEN 'bear_trend' WHEN '3' THEN 'range_bound' ELSE 'high_vol' END AS regime_state,
                CASE WHEN o_orderstatus = 'P' THEN 'OPEN' ELSE 'CLOSED' END AS status, o_orderdate AS entry_time,
                CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + (o_orderkey % 5) * INTERVAL 1 DAY END AS exit_time,
-               round(o_totalprice % 200 - 100, 2) AS pnl_usdt, (o_orderkey % 37 - 18) / 200.0 AS pnl_pct,
+               round(o_totalprice % 200 - 100, 2) AS pnl_usdt, (o_orderkey % 37 - 18) / 173.0 AS pnl_pct,
                CASE left(o_orderpriority, 1) WHEN '1' THEN 'take_profit' WHEN '2' THEN 'stop_loss' WHEN '3' THEN 'expiry_3d' WHEN '4' THEN 'trailing_stop' ELSE 'account_reset' END AS notes
         FROM orders JOIN customer ON c_custkey = o_custkey""",
     "v_closed": "SELECT * FROM v_trades WHERE status = 'CLOSED'",
@@ -217,7 +217,7 @@ class Views:
     def trades(self) -> DataFrame:
         o, c = F.col("o_orderkey"), F.col("o_custkey")
         first = F.left("o_orderpriority", F.lit(1))
-        pct = (o % 37 - 18) / 200.0
+        pct = (o % 37 - 18) / 173.0
         rows = self.table("orders").join(self.table("customer").select("c_custkey", "c_mktsegment"), F.col("c_custkey") == c)
         return rows.select(
             o.alias("id"), F.col("c_mktsegment").alias("entity"),

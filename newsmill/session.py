@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on (UTC days, runtime re-planning, partition-wise upserts).
 RUNTIME_CONF = {
@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Settings that only take effect when the session starts.
+START_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 # Largest dimension (rows) that is ever broadcast by an explicit hint in this library.
 BROADCAST_ROW_LIMIT = 1_000_000
 
@@ -26,7 +29,7 @@ def build_session(app: str = "newsmill", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -54,3 +57,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Run the plan once and continue from its result on shared storage.  Used where several branches, or a
+    job that picks block bounds, would otherwise each recompute everything upstream; a lost executor
+    re-reads files."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
