@@ -1 +1,134 @@
-"""stub"""
+"""Streaming queries: the whole table is landed as files and streamed to the end; results equal the batch form."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from newsmill.operators import keys as K
+
+from newsmill.registry import query
+from newsmill.registry.articles import EVENT_TYPE_SQL
+from newsmill.session import scratch_path
+from newsmill.streaming import articles as St
+
+LAND = 4  # files per landing folder
+
+
+def _landed(v, rows, order=None, max_files=2):
+    """Write rows as a few files and open them as a stream."""
+    path = scratch_path(v.spark, "landing")
+    rows = rows.repartitionByRange(LAND, order) if order else rows.repartition(LAND)
+    rows.write.parquet(path)
+    return St.stream_files(v.spark, path, rows.schema, max_files=max_files)
+
+
+def _run(v, start):
+    """Start a sink on fresh paths, wait for it, read the result."""
+    out, checkpoint = scratch_path(v.spark, "stream-out"), scratch_path(v.spark, "stream-state")
+    start(out, checkpoint).awaitTermination()
+    return v.spark.read.parquet(out)
+
+
+@query("stream_articles", "SELECT id, source_name, strftime(published_on, '%Y-%m-%d %H:%M:%S') AS published_on FROM v_articles")
+def _(v):
+    stream = _landed(v, v.articles.select("id", "source_name", "published_on"))
+    return _run(v, lambda out, cp: St.append_sink(stream, out, cp))
+
+
+@query("stream_dedup", "SELECT url, count(*) OVER () AS urls FROM (SELECT DISTINCT url FROM v_articles)")
+def _(v):
+    """Re-sent articles dropped inside the watermark span (wide enough here to cover the data)."""
+    rows = v.articles.select("url", "published_on")
+    stream = St.stream_dedup(_landed(v, rows.unionByName(rows)), delay="60 days")
+    got = _run(v, lambda out, cp: St.append_sink(stream, out, cp))
+    total = got.agg(F.count(F.lit(1))).scalar()
+    return got.select("url").withColumn("urls", total)
+
+
+@query("stream_counts", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS articles FROM events GROUP BY ALL")
+def _(v):
+    stream = _landed(v, v.table("events").select("ts", "event_type"), "ts")
+    counts = St.stream_counts(stream, "ts", by=["event_type"])
+    return _run(v, lambda out, cp: St.complete_sink(counts, out, cp)).select("start", "event_type", "articles")
+
+
+@query("stream_sliding_counts", """
+    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS start, count(*) AS articles FROM (SELECT unnest(generate_series(date_trunc('hour', ts) - INTERVAL 23 HOUR, date_trunc('hour', ts), INTERVAL 1 HOUR)) AS s FROM events) GROUP BY s""")
+def _(v):
+    stream = _landed(v, v.table("events").select("ts"), "ts")
+    counts = St.stream_counts(stream, "ts", "24 hours", "1 hour")
+    return _run(v, lambda out, cp: St.complete_sink(counts, out, cp)).select("start", "articles")
+
+
+@query("stream_breaking", """
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS articles FROM events JOIN v_event_articles ON id = event_id WHERE tags LIKE '%Breaking%' AND hour(ts) >= 20 GROUP BY 1""")
+def _(v):
+    rows = v.scores.select(F.col("news_id").alias("id"), "published_on").join(v.event_articles, "id")
+    counts = St.stream_breaking(_landed(v, rows, "published_on"))
+    return _run(v, lambda out, cp: St.complete_sink(counts, out, cp)).select(F.to_date("start").alias("date"), "articles")
+
+
+@query("stream_enrich", f"""
+    SELECT id, {EVENT_TYPE_SQL} AS event_type, CASE WHEN source_name IN ('CoinDesk', 'Reuters') THEN 1 WHEN source_name = 'Bitcoin World' THEN 3 ELSE 2 END AS source_tier, length(source_name) AS name_length FROM v_articles""")
+def _(v):
+    stream = _landed(v, v.articles.select("id", "title", "body", "categories", "source_name"))
+    dims = v.articles.select("source_name").distinct().withColumn("name_length", F.length("source_name"))
+    out = St.stream_enrich(stream, dims).select("id", "event_type", "source_tier", "name_length")
+    return _run(v, lambda path, cp: St.append_sink(out, path, cp))
+
+
+@query("stream_upsert", """
+    SELECT url, CAST(CAST(published_on AS DATE) AS VARCHAR) AS date, min(id) AS id FROM v_articles GROUP BY ALL""")
+def _(v):
+    """Permanent uniqueness: micro-batches insert only urls the table lacks for the day."""
+    rows = v.articles.select("url", "id", F.to_date("published_on").alias("date"))
+    path = scratch_path(v.spark, "stream-table")
+    rows.limit(0).write.parquet(path)
+    stream = _landed(v, rows, "id", max_files=1)
+    St.upsert_sink(stream, path, ["url", "date"], ["id"], "date", scratch_path(v.spark, "stream-state"), "ignore").awaitTermination()
+    return v.spark.read.schema(rows.schema).parquet(path)
+
+
+@query("stream_incremental", """
+    SELECT entity, CAST(date AS VARCHAR) AS date, n, CAST(sum(n) OVER (PARTITION BY entity ORDER BY date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS n_7d
+    FROM (SELECT entity, CAST(published_on AS DATE) AS date, count(*) AS n FROM (SELECT published_on, unnest(entities) AS entity FROM v_scores) GROUP BY ALL)""")
+def _(v):
+    """Changed days stream in; each batch recomputes its days from history with a seven-day look-back."""
+    from pyspark.sql import Window as W
+
+    from newsmill.plans.market import day_number
+    rows = v.scores.select(F.explode("entities").alias("entity"), F.to_date("published_on").alias("date"))
+
+    def build(history):
+        daily = history.groupBy("entity", "date").agg(F.count(F.lit(1)).alias("n")).withColumn("dn", day_number("date"))
+        w = W.partitionBy("entity").orderBy("dn").rangeBetween(-6, 0)
+        return daily.select("entity", "n", F.sum("n").over(w).alias("n_7d"), "date")
+
+    path = scratch_path(v.spark, "incremental")
+    build(rows).limit(0).write.parquet(path)
+    schema = build(rows).schema
+    stream = _landed(v, rows.select("date").distinct(), "date")
+    St.incremental_refresh(stream, rows, build, path, scratch_path(v.spark, "stream-state"), ["entity", "date"], lookback_days=7).awaitTermination()
+    return v.spark.read.schema(schema).parquet(path)
+
+
+@query("stream_hours_since", """
+    WITH x AS (SELECT unnest(entities) AS entity, published_on AS ts, event_type AS grp FROM v_scores WHERE event_type IS NOT NULL), l AS (SELECT entity, max(ts) AS now FROM x GROUP BY entity)
+    SELECT x.entity, grp, round((epoch_us(max(now)) - epoch_us(max(ts))) / 3.6e9, 2) + 0.0 AS hours_since FROM x JOIN l ON l.entity = x.entity GROUP BY x.entity, grp""")
+def _(v):
+    """Keyed state; of the emitted rows the newest per entity and group is kept."""
+    from newsmill.streaming.recency import STATE_STORE, stream_hours_since
+    for key, value in STATE_STORE.items():
+        v.spark.conf.set(key, value)
+    rows = v.scores.filter("event_type is not null").select(
+        F.explode("entities").alias("entity"), F.col("published_on").alias("ts"), F.col("event_type").alias("grp"))
+    hours = stream_hours_since(_landed(v, rows, "ts", max_files=1))
+    out = scratch_path(v.spark, "stream-out")
+
+    def save(batch, _):
+        batch.write.mode("append").parquet(out)
+
+    hours.writeStream.foreachBatch(save).outputMode("update").option(
+        "checkpointLocation", scratch_path(v.spark, "stream-state")).trigger(availableNow=True).start().awaitTermination()
+    got = K.first_per_key(v.spark.read.parquet(out), ["entity", "grp"], [F.desc("ts"), "hours_since"])
+    return got.select("entity", "grp", "hours_since")
