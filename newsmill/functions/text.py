@@ -58,10 +58,12 @@ def map_entities(
         head = F.substring(F.coalesce(F.col(body), F.lit("")), 1, scan_chars) if body else F.lit("")
         text = F.lower(F.concat_ws(" ", F.coalesce(F.col(title), F.lit("")), head))
         pattern = whole_word("|".join(n.replace(".", r"\.") for n in by_entity.values()))
-        hits = F.regexp_extract_all(text, F.lit(pattern), 1)
-        ordered = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(e).alias("e")) for e, n in by_entity.items()])
-        named = F.transform(F.filter(ordered, lambda p: F.array_contains(hits, p["n"])), lambda p: p["e"])
-        found = F.array_union(found, F.when(F.size(hits) > 0, named).otherwise(F.array().cast("array<string>")))
+        hits = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 1))
+        places = {n: (i, e) for i, (e, n) in enumerate(by_entity.items())}
+        place = F.create_map(*[
+            x for n, (i, e) in places.items() for x in (F.lit(n), F.struct(F.lit(i).alias("i"), F.lit(e).alias("e")))])
+        named = F.transform(F.array_sort(F.transform(hits, lambda h: F.element_at(place, h))), lambda p: p["e"])
+        found = F.array_union(found, named)
     if proxy is None:
         return found
     market_wide = F.exists(toks, lambda t: t.isin(market))

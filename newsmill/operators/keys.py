@@ -105,20 +105,19 @@ def duplicate_groups(df: DataFrame, keys) -> DataFrame:
 
 
 def duplicate_pairs(df: DataFrame, key: str, id_: str, cols: list) -> DataFrame:
-    """Every pair of rows sharing ``key`` (smaller id first).
+    """Pairs (first row of a key, every further row of it): n - 1 pairs connect all n duplicates.
 
-    The output is quadratic per duplicated key by definition; rows of unique keys are removed before the
-    self join and AQE splits the keys that remain skewed.  Use :func:`duplicate_members` for a linear
-    report of the same groups."""
-    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(key)
-    rows = df.join(dup, key, "left_semi").select(key, id_, *cols)
-    a = rows.select(key, F.col(id_).alias("id1"), *[F.col(c).alias(f"{c}1") for c in cols])
-    b = rows.select(key, F.col(id_).alias("id2"), *[F.col(c).alias(f"{c}2") for c in cols])
-    return a.join(b, key).filter("id1 < id2")
+    Listing every pair would be quadratic in the largest group and says no more.  The first row comes from a
+    partial aggregate; joining it back is a plain equi-join that AQE splits when one key is hot."""
+    first = df.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.min_by(F.struct(F.col(id_).alias("id1"), *[F.col(c).alias(f"{c}1") for c in cols]), id_).alias("f"),
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select(key, "f.*")
+    rest = df.select(key, F.col(id_).alias("id2"), *[F.col(c).alias(f"{c}2") for c in cols])
+    return rest.join(first, key).filter("id1 < id2")
 
 
 def duplicate_members(df: DataFrame, key: str, id_: str) -> DataFrame:
-    """Linear form of :func:`duplicate_pairs`: each duplicated row with its group's first id and size."""
+    """Each duplicated row with its group's first id and size."""
     groups = df.groupBy(key).agg(F.min(id_).alias("first_id"), F.count(F.lit(1)).alias("group_size"))
     return df.join(groups.filter("group_size > 1"), key)
 

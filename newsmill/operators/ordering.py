@@ -20,10 +20,11 @@ def pct_rank(x, *group) -> Column:
 
 
 def avg_rank(x, *group) -> Column:
+    """Mean of the first and the last position of a value's ties; both share one partitioning and sort."""
     x = F.col(x) if isinstance(x, str) else x
-    first = F.rank().over(W.partitionBy(*group).orderBy(x.asc_nulls_last()))
-    ties = F.count(F.lit(1)).over(W.partitionBy(*group, x))
-    return F.when(x.isNotNull(), first + (ties - 1) / 2.0)
+    w = W.partitionBy(*group).orderBy(x.asc_nulls_last())
+    upto = F.count(x).over(w.rangeBetween(W.unboundedPreceding, 0))
+    return F.when(x.isNotNull(), (F.rank().over(w) + upto) / 2.0)
 
 
 def quantile_bounds(df: DataFrame, *cols: str, blocks: int = BLOCKS) -> list[list]:

@@ -9,15 +9,17 @@ from newsmill.plans.market import DAY
 from newsmill.session import materialize
 
 
-def spearman_ic(df: DataFrame, signal: str, ret: str, least: int = 10, name: str = "ic") -> DataFrame:
+def spearman_ic(df: DataFrame, signal: str, ret: str, least: int = 10, name: str = "ic", cheap: bool = False) -> DataFrame:
     """Spearman correlation of two whole columns.
 
     Ranks come from counted distinct values cut into ordered blocks, rows from counted distinct pairs, so
     neither ties nor the table size concentrate in one task; the rank joins are ordinary shuffle joins that
-    AQE splits when one value dominates."""
+    AQE splits when one value dominates.  ``cheap`` says that reading ``df`` again costs little (a stored
+    table), so the counted pairs need not be stored."""
     pairs = df.filter(F.col(signal).isNotNull() & F.col(ret).isNotNull()).select(
         F.col(signal).cast("double").alias("x"), F.col(ret).cast("double").alias("y"))
-    counted = materialize(pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
+    counted = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted if cheap else materialize(counted)
     bounds = dict(zip("xy", quantile_bounds(counted, "x", "y")))
 
     def side(c):
@@ -190,7 +192,7 @@ def quartile_curve(df: DataFrame, signal: str, ret: str, least: int = 20, day: s
 def ic_by_horizon(df: DataFrame, signal: str, rets: dict) -> DataFrame:
     """One IC per horizon; ``rets`` maps horizon name -> return column."""
     df = materialize(df.select(signal, *rets.values()))
-    parts = [spearman_ic(df, signal, col, least=2).select(F.lit(h).alias("horizon"), F.round("ic", 4).alias("ic"))
+    parts = [spearman_ic(df, signal, col, least=2, cheap=True).select(F.lit(h).alias("horizon"), F.round("ic", 4).alias("ic"))
              for h, col in rets.items()]
     out = parts[0]
     for p in parts[1:]:
@@ -217,7 +219,7 @@ def full_eval(df: DataFrame, signal: str, truth: str, pred: str, rets=("forward_
               n: int = 20, day: str = DAY, entity="entity") -> DataFrame:
     """Every metric of a scored table as (metric, value) rows (the table is materialised once)."""
     df = materialize(df.select(*dict.fromkeys([entity, day, signal, truth, pred, *rets])))
-    parts = [spearman_ic(df, signal, r, name=f"ic_{r.split('_')[-1]}") for r in rets]
+    parts = [spearman_ic(df, signal, r, name=f"ic_{r.split('_')[-1]}", cheap=True) for r in rets]
     roll = rolling_ic_summary(rolling_ic(df, signal, rets[1], day=day))
     parts += [
         roll.select(F.col("ic_mean").alias("ic_3d_mean"), F.col("ic_std").alias("ic_3d_std"), "icir"),

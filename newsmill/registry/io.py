@@ -49,8 +49,7 @@ def _(v):
     root = scratch_path(v.spark, "snapshots")
     for stamp, cond in (("20240101_000000", "lang = 'EN'"), ("20240102_000000", "lang <> 'EN'")):
         v.articles.filter(cond).select("id", "lang").write.parquet(f"{root}/snap={stamp}")
-    df = v.spark.read.parquet(root)
-    return df.filter(F.col("snap") == df.agg(F.max("snap")).scalar()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    return readers.latest_snapshot(v.spark.read.parquet(root), "snap").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("read_tables", "SELECT r_name, count(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY r_name")

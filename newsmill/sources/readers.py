@@ -74,12 +74,12 @@ def feed_articles(pages: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(df: DataFrame, by: str = "file_modification_time") -> DataFrame:
-    """Rows of the newest file of a file-based frame (by modification time, or by timestamped ``file_name``).
+    """Rows of the newest snapshot of a file-based frame: by file metadata (``file_modification_time``, or a
+    timestamped ``file_name``), or by a partition column taken from timestamped folder names.
 
-    The newest value is found by a scalar subquery over the file metadata only."""
-    meta = F.col(f"_metadata.{by}")
-    newest = df.agg(F.max(meta)).scalar()
-    return df.filter(meta == newest)
+    The newest value is a scalar subquery over metadata only."""
+    value = F.col(by) if by in df.columns else F.col(f"_metadata.{by}")
+    return df.filter(value == df.agg(F.max(value)).scalar())
 
 
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
