@@ -39,8 +39,9 @@ def group_ic(df: DataFrame, group: list, signal: str, ret: str, least: int) -> D
     """Spearman correlation per group; each group is one cross-section (or a few days of it)."""
     rows = df.filter(F.col(signal).isNotNull() & F.col(ret).isNotNull())
     ranked = rows.select(*group, avg_rank(signal, *group).alias("rx"), avg_rank(ret, *group).alias("ry"))
-    return ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.corr("rx", "ry").alias("ic")).filter(
-        F.col("n") >= least).select(*group, "n", F.nanvl("ic", F.lit(None).cast("double")).alias("ic"))
+    # a constant side has no correlation: null, not a division error
+    corr = F.try_divide(F.covar_pop("rx", "ry"), F.stddev_pop("rx") * F.stddev_pop("ry"))
+    return ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), corr.alias("ic")).filter(F.col("n") >= least)
 
 
 def daily_ic(df: DataFrame, signal: str, ret: str, least: int = 5, day: str = DAY) -> DataFrame:

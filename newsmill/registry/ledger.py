@@ -56,10 +56,10 @@ def _(v):
 
 
 @query("trade_pnl", """
-    SELECT id, direction, round(s * (exit_price - entry_price) / entry_price + 1e-12 * sign(s * (exit_price - entry_price)), 6) + 0.0 AS pnl_pct, round(s * (exit_price - entry_price) * quantity, 3) + 0.0 AS pnl_usdt FROM (SELECT *, CASE direction WHEN 'SHORT' THEN -1 ELSE 1 END AS s FROM v_closed)""")
+    SELECT id, direction, round(s * (exit_price - entry_price) / entry_price + 1e-12 * sign(s * (exit_price - entry_price)), 6) + 0.0 AS pnl_pct, round(s * (exit_price - entry_price) * quantity, 4) + 0.0 AS pnl_usdt FROM (SELECT *, CASE direction WHEN 'SHORT' THEN -1 ELSE 1 END AS s FROM v_closed)""")
 def _(v):
     rows = L.with_pnl(v.closed_trades.drop("pnl_pct", "pnl_usdt"))
-    return rows.select("id", "direction", "pnl_pct", F.round("pnl_usdt", 3).alias("pnl_usdt"))
+    return rows.select("id", "direction", "pnl_pct", "pnl_usdt")
 
 
 EQUITY = f"""

@@ -24,18 +24,16 @@ class LastEvent(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for pdf in rows:
-            newest = pdf.groupby("grp")["ts"].max()
-            for grp, ts in newest.items():
+            for grp, ts in pdf.groupby("grp")["ts"].max().items():
                 micros = ts.value // 1000
                 known = self.last.getValue((grp,))[0] if self.last.containsKey((grp,)) else None
                 if known is None or micros > known:
                     self.last.updateValue((grp,), (micros,))
-            now = pdf["ts"].max()
-            out = [
-                (key[0], now, grp[0], max(0.0, round((now.value // 1000 - last[0]) / 3.6e9, 2)))
-                for grp, last in self.last.iterator()
-            ]
-            yield pd.DataFrame(out, columns=["entity", "ts", "grp", "hours_since"])
+        # all rows of the batch are in: one answer per key, seen from its newest event so far
+        seen = [(grp[0], last[0]) for grp, last in self.last.iterator()]
+        now = max(micros for _, micros in seen)
+        out = [(key[0], pd.Timestamp(now, unit="us"), grp, max(0.0, round((now - micros) / 3.6e9, 2))) for grp, micros in seen]
+        yield pd.DataFrame(out, columns=["entity", "ts", "grp", "hours_since"])
 
     def close(self) -> None:
         pass
