@@ -88,18 +88,19 @@ def value_ranks(df: DataFrame, x: str, block: str = "__block") -> DataFrame:
     return ranks_of_counts(order_blocks(counts, x, None, block), x, block)
 
 
-def ranks_of_counts(cut: DataFrame, x: str, block: str) -> DataFrame:
-    """As :func:`value_ranks`, from (x, n, block) rows with one row per value."""
-    totals = cut.groupBy(block).agg(F.sum("n").alias("m"))
+def ranks_of_counts(cut: DataFrame, x: str, block: str, group: list | None = None) -> DataFrame:
+    """As :func:`value_ranks`, from (group.., x, n, block) rows with one row per value of each group."""
+    group = group or []
+    totals = cut.groupBy(*group, block).agg(F.sum("n").alias("m"))
+    before = W.partitionBy(*group).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
-        block,
-        F.coalesce(F.sum("m").over(W.orderBy(block).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.sum("m").over(W.partitionBy()).alias("total"),
+        *group, block, F.coalesce(F.sum("m").over(before), F.lit(0)).alias("before"),
+        F.sum("m").over(W.partitionBy(*group)).alias("total"),
     )
-    upto = F.sum("n").over(W.partitionBy(block).orderBy(x).rowsBetween(W.unboundedPreceding, 0))
+    upto = F.sum("n").over(W.partitionBy(*group, block).orderBy(x).rowsBetween(W.unboundedPreceding, 0))
     rank = F.col("before") + upto - F.col("n") + (F.col("n") + 1) / 2.0
     return (
-        cut.join(F.broadcast(offsets), block)
+        cut.join(F.broadcast(offsets), [*group, block])
         .withColumn("rank", rank)
-        .select(x, "n", "rank", (F.col("rank") - (F.col("total") + 1) / 2.0).alias("centred"))
+        .select(*group, x, "n", "rank", (F.col("rank") - (F.col("total") + 1) / 2.0).alias("centred"))
     )

@@ -9,30 +9,37 @@ from newsmill.plans.market import DAY
 from newsmill.session import materialize
 
 
-def spearman_ic(df: DataFrame, signal: str, ret: str, least: int = 10, name: str = "ic", cheap: bool = False) -> DataFrame:
-    """Spearman correlation of two whole columns.
+def spearman_by(pairs: DataFrame, group: list, least: int = 10) -> DataFrame:
+    """Spearman correlation of the columns x and y per group, for few groups of any size.
 
     Ranks come from counted distinct values cut into ordered blocks, rows from counted distinct pairs, so
     neither ties nor the table size concentrate in one task; the rank joins are ordinary shuffle joins that
-    AQE splits when one value dominates.  ``cheap`` says that reading ``df`` again costs little (a stored
-    table), so the counted pairs need not be stored."""
-    pairs = df.filter(F.col(signal).isNotNull() & F.col(ret).isNotNull()).select(
-        F.col(signal).cast("double").alias("x"), F.col(ret).cast("double").alias("y"))
-    counted = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted if cheap else materialize(counted)
+    AQE splits when one value dominates."""
+    known = pairs.filter("x is not null and y is not null")
+    counted = materialize(known.groupBy(*group, "x", "y").agg(F.count(F.lit(1)).alias("n")))
     bounds = dict(zip("xy", quantile_bounds(counted, "x", "y")))
 
     def side(c):
-        values = counted.groupBy(c).agg(F.sum("n").alias("n")).withColumn("block", block_of(c, bounds[c]))
-        return ranks_of_counts(values, c, "block").select(c, F.col("centred").alias(f"r{c}"))
+        values = counted.groupBy(*group, c).agg(F.sum("n").alias("n")).withColumn("block", block_of(c, bounds[c]))
+        return ranks_of_counts(values, c, "block", group).select(*group, c, F.col("centred").alias(f"r{c}"))
 
-    rx, ry = side("x"), side("y")
     n = F.col("n")
-    m = counted.join(rx, "x").join(ry, "y").agg(
+    m = counted.join(side("x"), [*group, "x"]).join(side("y"), [*group, "y"]).groupBy(*group).agg(
         F.sum("n").alias("n"), F.sum(n * F.col("rx") * F.col("ry")).alias("xy"),
         F.sum(n * F.col("rx") * F.col("rx")).alias("xx"), F.sum(n * F.col("ry") * F.col("ry")).alias("yy"))
     ic = F.try_divide(F.col("xy"), F.sqrt(F.col("xx")) * F.sqrt(F.col("yy")))
-    return m.select(F.round(F.when(F.col("n") >= least, ic), 6).alias(name))
+    return m.select(*group, F.round(F.when(F.col("n") >= least, ic), 6).alias("ic"))
+
+
+def spearman_ic(df: DataFrame, signal: str, ret: str, least: int = 10) -> DataFrame:
+    """Spearman correlation of two whole columns."""
+    return spearman_by(df.select(F.col(signal).cast("double").alias("x"), F.col(ret).cast("double").alias("y")), [], least)
+
+
+def horizon_pairs(df: DataFrame, signal: str, rets: dict) -> DataFrame:
+    """(horizon, x, y) rows for several return columns of one signal."""
+    return df.select(F.col(signal).cast("double").alias("x"), F.inline(F.array(*[
+        F.struct(F.lit(h).alias("horizon"), F.col(c).cast("double").alias("y")) for h, c in rets.items()])))
 
 
 def group_ic(df: DataFrame, group: list, signal: str, ret: str, least: int) -> DataFrame:
@@ -192,13 +199,8 @@ def quartile_curve(df: DataFrame, signal: str, ret: str, least: int = 20, day: s
 
 def ic_by_horizon(df: DataFrame, signal: str, rets: dict) -> DataFrame:
     """One IC per horizon; ``rets`` maps horizon name -> return column."""
-    df = materialize(df.select(signal, *rets.values()))
-    parts = [spearman_ic(df, signal, col, least=2, cheap=True).select(F.lit(h).alias("horizon"), F.round("ic", 4).alias("ic"))
-             for h, col in rets.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ic = spearman_by(horizon_pairs(df, signal, rets), ["horizon"], least=2)
+    return ic.select("horizon", F.round("ic", 4).alias("ic"))
 
 
 def signal_distribution(df: DataFrame, score: str, long_above: float = 0.0, short_below: float = 0.0) -> DataFrame:
@@ -220,7 +222,9 @@ def full_eval(df: DataFrame, signal: str, truth: str, pred: str, rets=("forward_
               n: int = 20, day: str = DAY, entity="entity") -> DataFrame:
     """Every metric of a scored table as (metric, value) rows (the table is materialised once)."""
     df = materialize(df.select(*dict.fromkeys([entity, day, signal, truth, pred, *rets])))
-    parts = [spearman_ic(df, signal, r, name=f"ic_{r.split('_')[-1]}", cheap=True) for r in rets]
+    names = {f"ic_{r.split('_')[-1]}": r for r in rets}
+    ics = spearman_by(horizon_pairs(df, signal, names), ["horizon"])
+    parts = [ics.agg(*[F.max(F.when(F.col("horizon") == h, F.col("ic"))).alias(h) for h in names])]
     roll = rolling_ic_summary(rolling_ic(df, signal, rets[1], day=day))
     parts += [
         roll.select(F.col("ic_mean").alias("ic_3d_mean"), F.col("ic_std").alias("ic_3d_std"), "icir"),

@@ -10,19 +10,21 @@ from newsmill.plans.market import DAY, interval_bars
 
 
 def trade_outcomes(candidates: DataFrame, bars: DataFrame, exit_rules: dict | None = None,
-                   key="cand_id", entity="entity", ts="ts") -> DataFrame:
-    """Exit return and reason of every candidate trade.
-
-    A candidate's bars span a few days, so each window is tiny.  The running peak only grows, hence "the
-    trailing stop is armed" is simply peak >= arm level at the checkpoint; the exit is the first checkpoint
-    whose rule fires, in the order trailing stop, take-profit, stop-loss."""
+                   entity="entity", ts="ts") -> DataFrame:
+    """Exit return and reason of every candidate trade (entity, entry_date, direction, ...).
+
+    The outcome depends on entity, day and side only, so it is computed once per distinct combination (at most
+    two per entity and day, each with a few days of bars) and joined back to the candidates.  The running peak
+    only grows, hence "the trailing stop is armed" is simply peak >= arm level at the checkpoint; the exit is
+    the first checkpoint whose rule fires, in the order trailing stop, take-profit, stop-loss."""
+    key = [entity, "entry_date", "direction"]
     r = rules.EXIT_RULES if exit_rules is None else exit_rules
     buy = F.col("direction") == "BUY"
-    rows = interval_bars(candidates.select(key, entity, "entry_date", "direction"), bars, r["hold_days"], entity, ts=ts)
-    w = W.partitionBy(key).orderBy(ts)
+    rows = interval_bars(candidates.select(*key).distinct(), bars, r["hold_days"], entity, ts=ts)
+    w = W.partitionBy(*key).orderBy(ts)
     rows = rows.withColumns({
         "entry": F.first("open").over(w), "n": F.row_number().over(w),
-        "total": F.count(F.lit(1)).over(W.partitionBy(key)),
+        "total": F.count(F.lit(1)).over(W.partitionBy(*key)),
     }).filter("entry > 0")
     gain = lambda up, down: F.when(buy, (F.col(up) - F.col("entry")) / F.col("entry")).otherwise(
         (F.col("entry") - F.col(down)) / F.col("entry"))
@@ -38,7 +40,7 @@ def trade_outcomes(candidates: DataFrame, bars: DataFrame, exit_rules: dict | No
         .when(F.col("lp") <= r["stop_loss"], F.struct(F.lit("stop_loss").alias("reason"), F.lit(r["stop_loss"]).alias("ret")))
     )
     rows = rows.withColumn("hit", F.when(check, exit_))
-    done = rows.groupBy(key).agg(
+    done = rows.groupBy(*key).agg(
         F.min_by("hit", F.when(F.col("hit").isNotNull(), F.col("n"))).alias("hit"),
         F.max_by("cp", "n").alias("last"), F.first("entry").alias("entry_price"))
     return candidates.join(done, key, "left").select(

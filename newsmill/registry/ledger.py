@@ -38,12 +38,7 @@ OUTCOMES = """
            round(CASE why WHEN 'trailing_stop' THEN stop_at WHEN 'take_profit' THEN 0.045 WHEN 'stop_loss' THEN -0.08 ELSE last END, 6) + 0.0 AS pnl_pct, coalesce(why, 'expiry') AS exit_reason
     FROM events v JOIN o ON o.entity = v.event_type AND o.entry_date = CAST(v.ts AS DATE) AND o.direction = CASE WHEN v.user_id % 2 = 0 THEN 'BUY' ELSE 'SHORT' END""")
 def _(v):
-    """Candidates that share entity, day and side have one outcome: it is computed once and joined back."""
-    cand = _candidates(v)
-    keys = ["entity", "entry_date", "direction"]
-    distinct = cand.select(*keys).distinct().withColumn("key", F.concat_ws("|", *keys))
-    out = L.trade_outcomes(distinct, v.hourly_bars, key="key").drop("key")
-    return cand.join(out, keys).withColumn("entry_price", F.round("entry_price", 6))
+    return L.trade_outcomes(_candidates(v), v.hourly_bars).withColumn("entry_price", F.round("entry_price", 6))
 
 
 @query("interval_bars", """

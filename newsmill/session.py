@@ -17,9 +17,6 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-# Settings that only take effect when the session starts.
-START_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
-
 # Largest dimension (rows) that is ever broadcast by an explicit hint in this library.
 BROADCAST_ROW_LIMIT = 1_000_000
 
@@ -29,7 +26,7 @@ def build_session(app: str = "newsmill", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**START_CONF, **RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -42,26 +39,30 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``, else a local one for tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``; where that is unset, the
+    application's checkpoint folder, and in local mode a temporary one."""
+    ctx = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or ctx.getCheckpointDir()
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not ctx.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="newsmill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if ctx.getCheckpointDir() is None:
+        ctx.setCheckpointDir(root)
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
+    """A fresh path below the shared folder.  Nothing is deleted here: empty the folder between jobs."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Run the plan once and continue from its result on shared storage.  Used where several branches, or a
-    job that picks block bounds, would otherwise each recompute everything upstream; a lost executor
-    re-reads files."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Run the plan once, as a parquet table on shared storage, and continue from that table.
+
+    Used where several branches, or a job that picks block bounds, would otherwise each recompute everything
+    upstream.  Later stages read only the columns they need, see real sizes, and a lost executor re-reads files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
