@@ -184,31 +184,41 @@ def dataset_quality(datasets: dict, articles: DataFrame, failed=()) -> DataFrame
                 newest=F.max(F.unix_timestamp("published_on")), oldest=F.min(F.unix_timestamp("published_on"))))
 
 
-def batch_body_metrics(articles: DataFrame, long_body: int = rules.MIN_BODY_LENGTH) -> DataFrame:
-    """Counts, floor-percentage of long bodies, upper median and maximum length, date range.
+def _length_aggs(long_body: int) -> list:
+    n, long = F.count(F.lit(1)), F.count_if(F.col("len") >= long_body)
+    return [
+        n.alias("n"), F.countDistinct("source_name").alias("sources"),
+        F.floor(100 * long / n).alias("long_pct_floor"), F.round(100.0 * long / n, 1).alias("long_pct"),
+        F.floor(F.avg("len")).alias("body_mean"), F.max("len").alias("body_max"),
+        F.to_date(F.min("published_on")).alias("date_min"), F.to_date(F.max("published_on")).alias("date_max")]
+
+
+def _length_medians(base: DataFrame, by: list) -> DataFrame:
+    """Exact lower and upper medians from counts per distinct length: no list of all lengths is collected."""
+    per_len = base.groupBy(*by, "len").agg(F.count(F.lit(1)).alias("c"))
+    run = W.partitionBy(*by).orderBy("len").rowsBetween(W.unboundedPreceding, 0)
+    ranked = per_len.select(*by, "len", F.sum("c").over(run).alias("upto"), F.sum("c").over(W.partitionBy(*by)).alias("n"))
+    at = lambda pos: F.min(F.when(F.col("upto") > pos, F.col("len")))
+    return ranked.groupBy(*by).agg(
+        at(F.floor(F.col("n") / 2)).alias("upper_median"), at(F.floor((F.col("n") - 1) / 2)).alias("lower_median"))
+
 
-    The median comes from counts per distinct length, so no list of all lengths is ever collected."""
-    return length_stats(articles.withColumn("dataset", F.lit("all")), long_body).drop("dataset", "body_median", "body_mean")
+def _with_length(articles: DataFrame) -> DataFrame:
+    return articles.withColumn("len", F.coalesce(F.col("body_length"), F.lit(0)).cast("bigint"))
+
+
+def batch_body_metrics(articles: DataFrame, long_body: int = rules.MIN_BODY_LENGTH) -> DataFrame:
+    """Counts, floor-percentage of long bodies, upper median and maximum length, date range of one batch."""
+    base = _with_length(articles)
+    upper = _length_medians(base, []).select("upper_median").scalar()
+    return base.agg(*_length_aggs(long_body)).drop("body_mean").withColumn("upper_median", upper)
 
 
 def length_stats(articles: DataFrame, long_body: int = rules.MIN_BODY_LENGTH) -> DataFrame:
     """Body statistics per ``dataset`` value with exact medians."""
-    base = articles.withColumn("len", F.coalesce(F.col("body_length"), F.lit(0)).cast("bigint"))
-    per_len = base.groupBy("dataset", "len").agg(F.count(F.lit(1)).alias("c"))
-    run = W.partitionBy("dataset").orderBy("len").rowsBetween(W.unboundedPreceding, 0)
-    total = F.sum("c").over(W.partitionBy("dataset"))
-    ranked = per_len.select("dataset", "len", F.sum("c").over(run).alias("upto"), total.alias("n"))
-    at = lambda pos: F.min(F.when(F.col("upto") > pos, F.col("len")))
-    mid = ranked.groupBy("dataset").agg(
-        at(F.floor(F.col("n") / 2)).alias("upper_median"), at(F.floor((F.col("n") - 1) / 2)).alias("lower_median"))
-    long = F.count_if(F.col("len") >= long_body)
-    n = F.count(F.lit(1))
-    stats = base.groupBy("dataset").agg(
-        n.alias("n"), F.countDistinct("source_name").alias("sources"),
-        F.floor(100 * long / n).alias("long_pct_floor"), F.round(100.0 * long / n, 1).alias("long_pct"),
-        F.floor(F.avg("len")).alias("body_mean"), F.max("len").alias("body_max"),
-        F.to_date(F.min("published_on")).alias("date_min"), F.to_date(F.max("published_on")).alias("date_max"))
-    return stats.join(mid, "dataset").withColumn(
+    base = _with_length(articles)
+    stats = base.groupBy("dataset").agg(*_length_aggs(long_body))
+    return stats.join(_length_medians(base, ["dataset"]), "dataset").withColumn(
         "body_median", F.floor((F.col("lower_median") + F.col("upper_median")) / 2)).drop("lower_median")
 
 
