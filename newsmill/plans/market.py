@@ -22,6 +22,16 @@ def day_number(col):
     return F.datediff(F.col(col), F.lit("1970-01-01").cast("date"))
 
 
+def time_range(df: DataFrame, ts: str, start=None, end=None, lookback: int = 0, lookahead: int = 0) -> DataFrame:
+    """Rows a computation for the days [start, end] needs.  The bounds are constants on the raw time column,
+    so they reach the scan."""
+    if start is not None:
+        df = df.filter(F.col(ts) >= F.date_sub(F.lit(start).cast("date"), lookback).cast("timestamp"))
+    if end is not None:
+        df = df.filter(F.col(ts) < F.date_add(F.lit(end).cast("date"), lookahead + 1).cast("timestamp"))
+    return df
+
+
 def daily_values(bars: DataFrame, cols: list, entity="entity", ts="ts") -> DataFrame:
     """Last non-null value per (entity, day) of each column; fixed-width partial aggregates, no sort."""
     return bars.withColumn(DAY, F.to_date(ts)).groupBy(entity, DAY).agg(
@@ -43,9 +53,12 @@ def strict_prior_volatility(ret: str, n: int, entity="entity", min_count: int =
 
 
 def forward_labels(bars: DataFrame, start=None, end=None, thresholds: dict | None = None,
-                   entity="entity", ts="ts", close="close") -> DataFrame:
-    """Forward returns, direction labels and trailing volatility per (entity, day)."""
+                   entity="entity", ts="ts", close="close", lookback: int = 32, lookahead: int = 18) -> DataFrame:
+    """Forward returns, direction labels and trailing volatility per (entity, day).
+
+    For a range of days only the bars from ``lookback`` days before to ``lookahead`` days after it are read."""
     thresholds = rules.LABEL_THRESHOLDS if thresholds is None else thresholds
+    bars = time_range(bars, ts, start, end, lookback, lookahead)
     daily = (
         bars.withColumn(DAY, F.to_date(ts)).groupBy(entity, DAY)
         .agg(F.max_by(close, ts).alias("close"), F.max(ts).alias("ts"))
@@ -187,9 +200,11 @@ def with_date_position(daily: DataFrame) -> DataFrame:
 
 
 def cross_section(bars: DataFrame, start=None, end=None, entity="entity", ts="ts", lookback: int = 20,
-                  group_min: int = 10, sma_min: int = 15) -> DataFrame:
+                  group_min: int = 10, lookback_days: int = 35) -> DataFrame:
     """Per-day ranks of each entity plus market-wide breadth, advance/decline, dispersion, concentration.
-    Lags go by position in the table's calendar, not by the entity's own rows."""
+    Lags go by position in the table's calendar, not by the entity's own rows.  For a range of days the bars
+    are read from ``lookback_days`` earlier on; a day needs ``lookback`` earlier dates among them."""
+    bars = time_range(bars, ts, start, end, lookback_days)
     daily = with_date_position(daily_values(bars, ["close", "volume", "market_cap"], entity, ts))
     by = W.partitionBy(entity).orderBy("pos")
     at = lambda c, k: F.max(c).over(by.rangeBetween(-k, -k))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from newsmill.operators.keys import latest_per_key_day
-from newsmill.plans.market import DAY
+from newsmill.plans.market import DAY, time_range
 
 
 @dataclass
@@ -61,12 +61,7 @@ def inference_matrix(anchor: FeatureTable, tables: list[FeatureTable], entity="e
 
 def date_scaffold(bars: DataFrame, start=None, end=None, entity="entity", ts="ts") -> DataFrame:
     """Distinct (entity, day) of the bars in a date range."""
-    rows = bars.select(entity, F.to_date(ts).alias(DAY))
-    if start is not None:
-        rows = rows.filter(F.col(DAY) >= F.lit(start).cast("date"))
-    if end is not None:
-        rows = rows.filter(F.col(DAY) <= F.lit(end).cast("date"))
-    return rows.distinct()
+    return time_range(bars, ts, start, end).select(entity, F.to_date(ts).alias(DAY)).distinct()
 
 
 def null_report(matrix: DataFrame, features: list) -> DataFrame:

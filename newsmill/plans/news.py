@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from newsmill.functions import rules, text as X
 from newsmill.operators.keys import unprocessed
-from newsmill.plans.market import DAY, day_number
+from newsmill.plans.market import DAY, day_number, time_range
 
 
 def score_articles(articles: DataFrame, probs: DataFrame, done: DataFrame | None, model_version: str,
@@ -70,7 +70,8 @@ def entity_days(scores: DataFrame, articles: DataFrame) -> DataFrame:
 def news_signals(scores: DataFrame, articles: DataFrame, start=None, end=None,
                  baseline_days: int = rules.NEWS_BASELINE_DAYS) -> DataFrame:
     """Daily news features per entity, for days with at least one article and entities with a score in the
-    last eight calendar days."""
+    last eight calendar days.  For a range of days the scores are read from ``baseline_days`` earlier on."""
+    scores = time_range(scores, "published_on", start, end, max(baseline_days, 7))
     days = entity_days(scores, articles)
     # days with at least one score that has its article
     processed = scores.join(articles.select(F.col("id").alias("news_id")), "news_id", "left_semi").select(

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # zone-less parquet timestamps read as UTC instants: no cast between a time filter and the scan
+    "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
 }
 
 # Largest dimension (rows) that is ever broadcast by an explicit hint in this library.

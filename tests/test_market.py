@@ -230,3 +230,16 @@ def test_cycle_phase(spark):
     a, b = df.select(M.cycle_days("t").alias("d"), M.cycle_phase("t").alias("p")).collect()
     assert a["d"] == 0.0 and a["p"]["cos"] == 1.0
     assert 0 <= b["d"] < 29.54 and b["d"] == pytest.approx(29.53058770576 - (5 + (18 * 60 + 14) / 1440))
+
+
+def test_ranges_equal_full_runs(spark):
+    """A day range computed from its own slice of the history gives the rows of a full run."""
+    bars = frame(spark, [r[:5] + (r[2],) + r[6:] for r in daily(12, 90, 21, gaps=0.0)])
+    inside = "date between '2024-02-20' and '2024-03-01'"
+    for fn in (market.forward_labels, market.cross_section):
+        full = {(r["entity"], r["date"]): r for r in fn(bars).filter(inside).collect()}
+        part = {(r["entity"], r["date"]): r for r in fn(bars, "2024-02-20", "2024-03-01").collect()}
+        assert full and set(full) == set(part)
+        for k, r in full.items():
+            for a, b in zip(r, part[k]):
+                assert a == b or a == pytest.approx(b, abs=1e-9)

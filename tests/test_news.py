@@ -110,3 +110,12 @@ def test_score_articles_skips_done_and_short(spark):
     assert [r["news_id"] for r in out] == [1]
     r = out[0]
     assert (r["title_score"], r["body_score"], r["composite_score"], r["confidence"], r["source_tier"], r["entities"]) == (0.6, -0.1, 0.18, 0.5, 1, ["bitcoin"])
+
+
+def test_news_signals_range_equals_full_run(spark):
+    rows = scores(seed=12)
+    arts = spark.createDataFrame([(r[0], "daily") for r in rows], "id bigint, tags string")
+    lo, hi = (BASE + dt.timedelta(days=d) for d in (32, 40))
+    full = {(r["entity"], r["date"]): r for r in news.news_signals(frame(spark, rows), arts).collect() if lo.date() <= r["date"] <= hi.date()}
+    part = {(r["entity"], r["date"]): r for r in news.news_signals(frame(spark, rows), arts, str(lo.date()), str(hi.date())).collect()}
+    assert full and full == part
