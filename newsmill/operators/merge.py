@@ -47,6 +47,23 @@ def merge_counts(target: DataFrame, incoming: DataFrame, keys: list) -> DataFram
     )
 
 
+PARTITION_LIMIT = 10_000
+
+
+def touched_partitions(target: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
+    """Target rows in partitions that occur in ``incoming``.
+
+    The partition values (days of a batch) become constants, so untouched partitions are pruned before the
+    scan; a batch touching more than PARTITION_LIMIT of them falls back to a semi join."""
+    values = incoming.select(partition).distinct()
+    few = [r[0] for r in values.limit(PARTITION_LIMIT + 1).collect()]
+    if len(few) > PARTITION_LIMIT:
+        same = F.col("t." + partition).eqNullSafe(F.col("v." + partition))
+        return target.alias("t").join(values.alias("v"), same, "left_semi")
+    hit = F.col(partition).isin([v for v in few if v is not None])
+    return target.filter(hit | F.col(partition).isNull() if None in few else hit)
+
+
 def merge_into_table(path: str, incoming: DataFrame, keys: list, order, partition: str, mode: str = "update") -> None:
     """Merge into a parquet table partitioned by ``partition`` (the partition must follow from the keys).
 
@@ -55,8 +72,7 @@ def merge_into_table(path: str, incoming: DataFrame, keys: list, order, partitio
     can be repeated."""
     spark = incoming.sparkSession
     target = spark.read.parquet(path)
-    touched = incoming.select(partition).distinct()
-    current = target.join(touched, partition, "left_semi")
+    current = touched_partitions(target, incoming, partition)
     merge = merge_update if mode == "update" else merge_ignore
     staging = scratch_path(spark, "merge")
     merge(current, incoming, keys, order).select(*target.columns).write.mode("error").parquet(staging)
@@ -72,8 +88,7 @@ def append_new(path: str, incoming: DataFrame, keys: list, order, partition: str
     """Append-only insert-ignore: no rewrite of existing files."""
     spark = incoming.sparkSession
     target = spark.read.parquet(path)
-    touched = incoming.select(partition).distinct()
-    current = target.select(*dict.fromkeys([partition, *keys])).join(touched, partition, "left_semi")
+    current = touched_partitions(target.select(*dict.fromkeys([partition, *keys])), incoming, partition)
     new_rows(current, incoming, keys, order).write.mode("append").partitionBy(partition).parquet(path)
 
 

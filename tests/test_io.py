@@ -150,3 +150,11 @@ def test_profiles_on_edges(spark):
     assert got[("totals", "unique_tags")] == 0
     enums = P.data_profile(spark.range(30).selectExpr("id", "id % 3 AS small", "timestamp'2024-01-01' AS t"), "id", "t", ["small", "id"])
     assert {r["section"] for r in enums.collect()} == {"table", "enum_small"}
+
+
+def test_merge_keeps_rows_of_the_null_partition(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    table(spark, path, [(1, "a", None), (2, "b", None), (3, "c", D(1))])
+    inc = spark.createDataFrame([(2, "B", None), (4, "n", None)], "k int, v string, d date")
+    merge.merge_into_table(path, inc, ["k"], ["v"], "d")
+    assert rows(spark.read.parquet(path).select("k", "v")) == [(1, "a"), (2, "B"), (3, "c"), (4, "n")]

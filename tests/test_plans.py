@@ -46,3 +46,13 @@ def test_scan_reads_only_needed_columns(spark):
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert {c.split(":")[0] for c in schema.split(",")} == {"l_suppkey", "l_quantity", "l_shipdate"}
     assert "PushedFilters: [IsNotNull(l_shipdate)" in text
+
+
+def test_merge_prunes_untouched_partitions(spark, tmp_path):
+    from newsmill.operators.merge import touched_partitions
+    path = str(tmp_path / "t")
+    spark.sql("SELECT id, date_add(date'2024-01-01', cast(id AS int)) AS d FROM range(5)").write.partitionBy("d").parquet(path)
+    inc = spark.sql("SELECT 9 AS id, date'2024-01-03' AS d")
+    rows = touched_partitions(spark.read.parquet(path), inc, "d")
+    assert [r["id"] for r in rows.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(d" in plan(rows) and "2024-01-03" in plan(rows).split("PartitionFilters")[1] or "19725" in plan(rows)
