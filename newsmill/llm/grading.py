@@ -16,7 +16,7 @@ from newsmill.llm.ngramjoin import ascii_lower
 from newsmill.llm.textarrays import Chunk, _BYTE_VALUE, chunks, mix
 
 DIMENSIONS = 1 << 16
-MAX_RATED = 20_000    # rated documents used for the fit, at most
+MAX_RATED = 8_000     # rated documents used for the fit, at most
 SEED, STEPS, RATE, RIDGE = 5, 200, 0.05, 1e-4
 KEEP_PROBABILITY = 0.7
 _U = np.uint64

@@ -6,7 +6,7 @@ one document has; only those can overlap.  Bounds from the set sizes discard the
 n-grams is common.  Pairs that survive the bounds accumulate their overlap over the shared n-grams, exactly.
 
 Links are wanted as components, so pairs inside what is already one component are not made: first every document meets
-the leader of each of its rare n-grams, then only pairs from different components do."""
+a few leaders of its rare n-grams, in turns, then all pairs from different components do."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from newsmill.llm.graph import components
 from newsmill.llm.textarrays import blob, chunks, mix, pack40, unpack40
@@ -22,6 +22,8 @@ from newsmill.session import materialize
 
 SHINGLE, SHARE = 5, 75
 BLOCK_ENTRIES = 2_000_000   # incidence entries a block (or a part of documents) is sized for
+# per turn: how many ways a group's n-grams choose leaders, and how many each; then all pairs of components meet
+LEADERS = ((4, 1), (1 << 30, 4), (1 << 30, 24))
 FLUSH_ENTRIES = 1_500_000   # entries a map task holds before it sends its blocks
 _U = np.uint64
 _LOW = _U((1 << 40) - 1)
@@ -188,14 +190,15 @@ def reduced_matrix(shared: DataFrame, share: int = SHARE) -> DataFrame:
         for i in np.flatnonzero(alive):
             lo, hi = ends[i] - s[i], ends[i]
             rows.append((int(names[i]), int(n[i]), int(s[i]), blob(ids[plain[lo:hi]]),
-                         np.unique(ids[rarest[lo:lo + s[i] - need[i] + 1]]).astype(np.int64)))
+                         ids[rarest[lo:lo + s[i] - need[i] + 1]].astype(np.int64)))
         return pa.Table.from_batches([_batch(rows, _MATRIX)] if rows else [], _MATRIX)
     return shared.groupBy("block").applyInArrow(run, "sig long, n long, s long, ids binary, rare array<long>")
 
 
 def _can_reach(a: str, b: str, share: int) -> str:
-    """Size bounds: the overlap is at most the smaller number of shared n-grams."""
-    return (f"{100 + share} * least({a}.s, {b}.s) >= {share} * ({a}.n + {b}.n) "
+    """Size bounds for two documents that meet at an n-gram: if it is the rarest that they share, what comes before it in
+    either row cannot overlap, so the overlap is at most the smaller of what is left."""
+    return (f"{100 + share} * least({a}.s - {a}.pos, {b}.s - {b}.pos) >= {share} * ({a}.n + {b}.n) "
             f"AND 100 * least({a}.n, {b}.n) >= {share} * greatest({a}.n, {b}.n)")
 
 
@@ -241,28 +244,44 @@ def ngram_jaccard(docs: DataFrame, key: str = "doc_id", text: str = "text", k: i
         "doc_id", "n_shingles", F.when(F.col("_component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _pairs(a: DataFrame, b: DataFrame, condition: str, share: int) -> DataFrame:
+    """Distinct pairs (u, v) of two sides that meet at an n-gram and can reach the share."""
+    met = a.alias("a").join(b.alias("b"), F.expr(f"a.id = b.id AND {condition} AND {_can_reach('a', 'b', share)}"))
+    return met.select(F.greatest("a.sig", "b.sig").alias("u"), F.least("a.sig", "b.sig").alias("v")).distinct()
+
+
 def _links(matrix: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
     """Verified links between sets and (node, component) of the sets that have any."""
-    rare = matrix.select("sig", "n", "s", F.explode("rare").alias("id"))
-    leader = rare.groupBy("id").agg(F.min(F.struct("sig", "n", "s")).alias("l"), F.count("*").alias("c")).where("c > 1").select("id", "l.*")
-    first = (rare.alias("a").join(leader.alias("b"), "id").where(F.expr(f"a.sig <> b.sig AND {_can_reach('a', 'b', share)}"))
-             .select(F.greatest("a.sig", "b.sig").alias("u"), F.least("a.sig", "b.sig").alias("v")).distinct())
-    first = materialize(first)
-    links = materialize(accumulate(first, matrix, share))
-    marked = components(links, "u", "v")
-    # what is left: rare n-grams that documents of different components have
-    r = materialize(rare.join(marked.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig")))
-    mixed = r.groupBy("id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("id")
-    r = r.join(mixed, "id")
-    a, b = r.alias("a"), r.alias("b")
-    second = a.join(b, F.expr(f"a.id = b.id AND a.component < b.component AND {_can_reach('a', 'b', share)}"))
-    second = second.select(F.greatest("a.sig", "b.sig").alias("u"), F.least("a.sig", "b.sig").alias("v")).distinct()
-    second = second.join(first, ["u", "v"], "left_anti")
-    more = materialize(accumulate(second, matrix, share))
-    if more.isEmpty():
-        return links, marked
-    stars = marked.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    return links.unionByName(more), components(stars.unionByName(more.select("u", "v")), "u", "v")
+    rare = matrix.select("sig", "n", "s", F.posexplode("rare").alias("pos", "id"))
+    links, stars, tried = None, None, None
+    r = materialize(rare.withColumn("component", F.col("sig")))
+    for turn in range(len(LEADERS) + 1):
+        # rare n-grams that documents of different components have
+        mixed = r.groupBy("id").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("id", "lo")
+        r = r.join(mixed, "id")
+        if turn < len(LEADERS):
+            # a few leaders for the n-grams of a group, more and others in every turn; once components have formed, they
+            # come from the one with the smallest name, which the largest of a group mostly has, and meet the others
+            lots, each = LEADERS[turn]
+            lot = F.xxhash64("sig", F.lit(turn), F.pmod(F.col("id"), F.lit(lots)))
+            best = F.row_number().over(W.partitionBy("id").orderBy(lot, "sig"))
+            leader = (r if turn == 0 else r.where("component = lo")).withColumn("_best", best).where(f"_best <= {each}")
+            pairs = _pairs(r, leader, "a.component <> b.component", share)
+        else:
+            pairs = _pairs(r, r, "a.component < b.component", share)
+        if tried is not None:
+            pairs = pairs.join(tried, ["u", "v"], "left_anti")
+        pairs = materialize(pairs)
+        found = materialize(accumulate(pairs, matrix, share))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        edges = found.select("u", "v") if stars is None else stars.unionByName(found.select("u", "v"))
+        marked = components(edges, "u", "v")
+        stars = marked.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        if turn < len(LEADERS):
+            r = materialize(r.drop("component", "lo").join(marked.withColumnRenamed("node", "sig"), "sig", "left")
+                            .withColumn("component", F.coalesce("component", "sig")))
+    return links, marked
 
 
 def one_per_component(docs: DataFrame, classes: DataFrame, key: str = "doc_id") -> DataFrame:
