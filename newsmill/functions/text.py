@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -32,6 +34,21 @@ def whole_word(alternatives: str) -> str:
     return rf"(?iuU)\b({alternatives})\b"
 
 
+def name_table(by_entity: dict) -> tuple[Column, str]:
+    """(name -> entities, pattern).  The pattern looks ahead at every position for the longest whole-word name, so names
+    that begin inside another are found; names that are the beginning of the found one come from the table."""
+    own = {name: [] for name in by_entity.values()}
+    for i, (entity, name) in enumerate(by_entity.items()):
+        for longer in own:
+            if re.match(rf"{re.escape(name)}(?!\w)", longer):
+                own[longer].append((i, entity))
+    longest = sorted(own, key=len, reverse=True)
+    pattern = r"(?iuU)(?=(?<!\w)(" + "|".join(f"\\Q{n}\\E" for n in longest) + r")(?!\w))"
+    struct = lambda i, e: F.struct(F.lit(i).alias("i"), F.lit(e).alias("e"))
+    table = F.create_map(*[x for n, es in own.items() for x in (F.lit(n), F.array(*[struct(i, e) for i, e in es]))])
+    return table, pattern
+
+
 def map_entities(
     categories,
     title=None,
@@ -40,10 +57,10 @@ def map_entities(
     names: dict | None = None,
     market_categories: list | None = None,
     proxy: str | None = rules.MARKET_PROXY,
-    scan_chars: int = rules.NAME_SCAN_CHARS,
+    scan_chars: int | None = None,
 ) -> Column:
-    """Entities of an article, first-seen order: category tokens, then names in title + start of body,
-    else ``proxy`` when only market-wide categories are present (``proxy=None`` switches that off)."""
+    """Entities of an article, first-seen order: category tokens, then names in title and body (all of
+    it, or its first ``scan_chars`` characters), else ``proxy`` when only market-wide categories are present (``proxy=None`` switches that off)."""
     tokens = rules.CATEGORY_ENTITIES if tokens is None else tokens
     names = rules.NAME_ENTITIES if names is None else names
     market = rules.MARKET_CATEGORIES if market_categories is None else market_categories
@@ -53,17 +70,15 @@ def map_entities(
         F.filter(F.transform(toks, lambda t: F.element_at(table, t)), lambda s: s.isNotNull())
     )
     # one name per entity (the later of two names wins); very short names match too much
-    by_entity = {entity: name for name, entity in names.items() if len(name) > 3}
+    by_entity = {entity: name.lower() for name, entity in names.items() if len(name) > 3}
     if title is not None and by_entity:
-        head = F.substring(F.coalesce(F.col(body), F.lit("")), 1, scan_chars) if body else F.lit("")
-        text = F.lower(F.concat_ws(" ", F.coalesce(F.col(title), F.lit("")), head))
-        pattern = whole_word("|".join(n.replace(".", r"\.") for n in by_entity.values()))
+        whole = F.coalesce(F.col(body), F.lit("")) if body else F.lit("")
+        whole = F.substring(whole, 1, scan_chars) if scan_chars else whole
+        text = F.lower(F.concat_ws(" ", F.coalesce(F.col(title), F.lit("")), whole))
+        table, pattern = name_table(by_entity)
         hits = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 1))
-        places = {n: (i, e) for i, (e, n) in enumerate(by_entity.items())}
-        place = F.create_map(*[
-            x for n, (i, e) in places.items() for x in (F.lit(n), F.struct(F.lit(i).alias("i"), F.lit(e).alias("e")))])
-        named = F.transform(F.array_sort(F.transform(hits, lambda h: F.element_at(place, h))), lambda p: p["e"])
-        found = F.array_union(found, named)
+        found_names = F.array_distinct(F.flatten(F.transform(hits, lambda h: F.element_at(table, h))))
+        found = F.array_union(found, F.transform(F.array_sort(found_names), lambda p: p["e"]))
     if proxy is None:
         return found
     market_wide = F.exists(toks, lambda t: t.isin(market))
@@ -112,10 +127,17 @@ def composite_score(title_score, body_score) -> Column:
     return F.round(0.4 * title_score + 0.6 * body_score, 6)
 
 
-def model_text(text, placeholder: str = rules.BLANK_TEXT, chars: int = rules.MODEL_TEXT_CHARS) -> Column:
-    """Text as handed to a scoring model (a documented model limit): cut, blanks replaced."""
-    cut = F.substring(F.coalesce(F.col(text), F.lit("")), 1, chars)
-    return F.when(F.length(F.regexp_replace(cut, r"(?U)\s", "")) == 0, F.lit(placeholder)).otherwise(cut)
+def model_text(text, placeholder: str = rules.BLANK_TEXT) -> Column:
+    """Text as handed to a scoring model: whole, blanks replaced (see :func:`text_pieces`)."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return F.when(F.length(F.regexp_replace(whole, r"(?U)\s", "")) == 0, F.lit(placeholder)).otherwise(whole)
+
+
+def text_pieces(text, chars: int = rules.MODEL_TEXT_CHARS) -> Column:
+    """Consecutive pieces of at most ``chars`` characters that together are the whole text."""
+    text = F.col(text) if isinstance(text, str) else text
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(chars))
+    return F.transform(starts, lambda at: F.substring(text, at, F.lit(chars)))
 
 
 def url_id(url) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from newsmill.operators.keys import first_per_nonnull_key
-from newsmill.session import scratch_path
+from newsmill.session import materialize, scratch_path
 
 
 def merge_update(target: DataFrame, incoming: DataFrame, keys: list, order) -> DataFrame:
@@ -47,48 +47,66 @@ def merge_counts(target: DataFrame, incoming: DataFrame, keys: list) -> DataFram
     )
 
 
-PARTITION_LIMIT = 10_000
-
-
-def touched_partitions(target: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
-    """Target rows in partitions that occur in ``incoming``.
-
-    The partition values (days of a batch) become constants, so untouched partitions are pruned before the
-    scan; a batch touching more than PARTITION_LIMIT of them falls back to a semi join."""
-    values = incoming.select(partition).distinct()
-    few = [r[0] for r in values.limit(PARTITION_LIMIT + 1).collect()]
-    if len(few) > PARTITION_LIMIT:
-        same = F.col("t." + partition).eqNullSafe(F.col("v." + partition))
-        return target.alias("t").join(values.alias("v"), same, "left_semi")
-    hit = F.col(partition).isin([v for v in few if v is not None])
-    return target.filter(hit | F.col(partition).isNull() if None in few else hit)
+def touched_partitions(target: DataFrame, incoming: DataFrame, partition: str, keys: list | None = None) -> DataFrame:
+    """Target rows in partitions that a merge changes: those of the incoming rows and, where the partition is not among
+    the keys, those in which an incoming key lies now (a row that moves must leave its old partition)."""
+    values = incoming.select(partition)
+    if keys and partition not in keys:
+        values = values.unionByName(target.join(incoming.select(*keys).distinct(), keys, "left_semi").select(partition))
+    p, values = F.col(partition), values.distinct()
+    # the span of the values prunes partitions before the scan, the semi join picks among them
+    span = values.agg(F.min(p).alias("lo"), F.max(p).alias("hi"))
+    named = target.filter((p >= span.select("lo").scalar()) & (p <= span.select("hi").scalar())).join(values, partition, "left_semi")
+    unnamed = target.filter(p.isNull() & values.agg(F.count_if(p.isNull()) > 0).scalar())
+    return named.select(*target.columns).unionByName(unnamed)
+
+
+def drop_partitions(spark, path: str, partition: str, values: DataFrame) -> None:
+    """Delete the folders of partition values that have no rows left; the values are streamed, not gathered."""
+    jvm = spark._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for r in values.select(F.col(partition).cast("string")).distinct().toLocalIterator():
+        folder = jvm.org.apache.hadoop.fs.Path(path, names.getPartitionPathString(partition, r[0]))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace_partitions(path: str, rows: DataFrame, partition: str, touched: DataFrame, schema) -> None:
+    """Replace exactly the partitions named by ``touched``; those without rows disappear.
+
+    The rows are first written to a staging path, so the table is never overwritten while it is being read and a failed
+    run can be repeated."""
+    spark = rows.sparkSession
+    staging, days = scratch_path(spark, "merge"), scratch_path(spark, "touched")
+    touched.select(partition).distinct().write.mode("error").parquet(days)
+    rows.select(*schema.names).write.mode("error").parquet(staging)
+    staged = spark.read.schema(schema).parquet(staging)
+    (staged.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition).parquet(path))
+    left = staged.select(F.col(partition).alias("__p")).distinct()
+    gone = spark.read.parquet(days)
+    drop_partitions(spark, path, partition, gone.join(left, gone[partition].eqNullSafe(left["__p"]), "left_anti"))
 
 
 def merge_into_table(path: str, incoming: DataFrame, keys: list, order, partition: str, mode: str = "update") -> None:
-    """Merge into a parquet table partitioned by ``partition`` (the partition must follow from the keys).
+    """Merge into a parquet table partitioned by ``partition``.
 
-    Only partitions present in ``incoming`` are read and replaced.  The merged partitions are first
-    written to a staging path, so the table is never overwritten while it is being read and a failed run
-    can be repeated."""
+    Only partitions that change are read and replaced.  A key keeps one row also when its partition changes."""
     spark = incoming.sparkSession
     target = spark.read.parquet(path)
-    current = touched_partitions(target, incoming, partition)
+    incoming = materialize(incoming)
+    current = touched_partitions(target, incoming, partition, keys)
     merge = merge_update if mode == "update" else merge_ignore
-    staging = scratch_path(spark, "merge")
-    merge(current, incoming, keys, order).select(*target.columns).write.mode("error").parquet(staging)
-    (
-        spark.read.schema(target.schema).parquet(staging)
-        .hint("rebalance", partition)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition).parquet(path)
-    )
+    touched = current.select(partition).unionByName(incoming.select(partition))
+    replace_partitions(path, merge(current, incoming, keys, order), partition, touched, target.schema)
 
 
 def append_new(path: str, incoming: DataFrame, keys: list, order, partition: str) -> None:
     """Append-only insert-ignore: no rewrite of existing files."""
     spark = incoming.sparkSession
     target = spark.read.parquet(path)
-    current = touched_partitions(target.select(*dict.fromkeys([partition, *keys])), incoming, partition)
+    incoming = materialize(incoming)
+    known = target.select(*dict.fromkeys([partition, *keys]))
+    current = touched_partitions(known, incoming, partition) if partition in keys else known
     new_rows(current, incoming, keys, order).write.mode("append").partitionBy(partition).parquet(path)
 
 

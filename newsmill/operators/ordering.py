@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from newsmill.session import materialize
 
-BLOCKS = 64
+ROWS_PER_BLOCK, LEAST_BLOCKS = 2_000_000, 16
 
 
 def pct_rank(x, *group) -> Column:
@@ -27,9 +27,14 @@ def avg_rank(x, *group) -> Column:
     return F.when(x.isNotNull(), (F.rank().over(w) + upto) / 2.0)
 
 
-def quantile_bounds(df: DataFrame, *cols: str, blocks: int = BLOCKS) -> list[list]:
+def block_count(df: DataFrame, rows_per_block: int | None = None) -> int:
+    """Blocks for a materialised table: as many as its rows need."""
+    return max(LEAST_BLOCKS, -(-df.count() // (rows_per_block or ROWS_PER_BLOCK)))
+
+
+def quantile_bounds(df: DataFrame, *cols: str, blocks: int) -> list[list]:
     """Block bounds per numeric column.  They become literals of the plan, so every branch and every
-    retried task cuts the rows identically; at most ``blocks - 1`` numbers per column reach the driver."""
+    retried task cuts the rows identically; ``blocks - 1`` numbers per column, one for a few million rows, reach the driver."""
     steps = [i / blocks for i in range(1, blocks)]
     row = df.agg(*[F.percentile_approx(c, steps, 10 * blocks).alias(c) for c in cols]).first()
     return [sorted(set(row[c] or [])) for c in cols]
@@ -37,26 +42,27 @@ def quantile_bounds(df: DataFrame, *cols: str, blocks: int = BLOCKS) -> list[lis
 
 def block_of(x, bounds: list) -> Column:
     """Even numbers lie strictly between two bounds, odd numbers are rows equal to a bound: a heavily
-    repeated value always has a block of its own."""
+    repeated value always has a block of its own, and nulls have the first."""
     x = F.col(x) if isinstance(x, str) else x
     if not bounds:
-        return F.lit(0)
+        return F.when(x.isNull(), -1).otherwise(0)
     cuts = F.array(*[F.lit(b) for b in bounds])
     below = F.size(F.filter(cuts, lambda b: b < x))
-    return below * 2 + F.array_contains(cuts, x).cast("int")
+    return F.when(x.isNull(), -1).otherwise(below * 2 + F.array_contains(cuts, x).cast("int"))
 
 
-def order_blocks(df: DataFrame, first: str, second: str | None = None, name: str = "block", blocks: int = BLOCKS) -> DataFrame:
+def order_blocks(df: DataFrame, first: str, second: str | None = None, name: str = "block", rows_per_block: int | None = None) -> DataFrame:
     """Add a block number that follows the order (first, second).  Rows equal to a bound of ``first`` are
     cut further along ``second``, so one hot value of ``first`` is spread as well.
 
-    The rows are materialised first: choosing the bounds and the branches that follow share one run of
+    Blocks grow in number with the rows.  The rows are materialised first: choosing the bounds and the branches that follow share one run of
     everything upstream."""
     df = materialize(df)
+    blocks = block_count(df, rows_per_block)
     bounds = quantile_bounds(df, *[c for c in (first, second) if c], blocks=blocks)
     block = block_of(first, bounds[0])
     if second and bounds[1]:
-        sub = F.when(block % 2 == 1, block_of(second, bounds[1])).otherwise(F.lit(0))
+        sub = F.when(block % 2 != 0, block_of(second, bounds[1])).otherwise(F.lit(0))
         block = block * (2 * len(bounds[1]) + 1) + sub
     return df.withColumn(name, block)
 
@@ -73,7 +79,7 @@ def running_sums(df: DataFrame, first: str, second: str | None, sums: dict, bloc
     totals = cut.groupBy(block).agg(*[F.sum(c).alias(c) for c in sums])
     offsets = carry_forward(totals, block, {c: f"__before_{c}" for c in sums})
     within = W.partitionBy(block).orderBy(*[c for c in (first, second) if c]).rowsBetween(W.unboundedPreceding, 0)
-    out = cut.join(F.broadcast(offsets), block)
+    out = cut.join(offsets, block)
     for c, name in sums.items():
         out = out.withColumn(name, F.col(f"__before_{c}") + F.coalesce(F.sum(c).over(within), F.lit(0)))
     return out.drop(block, *[f"__before_{c}" for c in sums])
@@ -100,7 +106,7 @@ def ranks_of_counts(cut: DataFrame, x: str, block: str, group: list | None = Non
     upto = F.sum("n").over(W.partitionBy(*group, block).orderBy(x).rowsBetween(W.unboundedPreceding, 0))
     rank = F.col("before") + upto - F.col("n") + (F.col("n") + 1) / 2.0
     return (
-        cut.join(F.broadcast(offsets), [*group, block])
+        cut.join(offsets, [*group, block])
         .withColumn("rank", rank)
         .select(*group, x, "n", "rank", (F.col("rank") - (F.col("total") + 1) / 2.0).alias("centred"))
     )

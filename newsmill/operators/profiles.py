@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from newsmill.functions import rules, text as X
-from newsmill.session import BROADCAST_ROW_LIMIT
 
 
 def metrics(df: DataFrame, section: str, **aggs: Column) -> DataFrame:
@@ -255,8 +254,9 @@ def compare_profiles(old: DataFrame, new: DataFrame, changed_by: float = 10.0) -
                        change.alias("change_pct"), presence.alias("presence"), insight.alias("insight"))
 
 
-def data_profile(df: DataFrame, entity: str, ts: str, enums=(), limit: int = 20, approximate: bool = False) -> DataFrame:
-    """Row count, time range, distinct entities and the value lists of small-cardinality columns."""
+def data_profile(df: DataFrame, entity: str, ts: str, enums=(), top: int = 20, approximate: bool = False) -> DataFrame:
+    """Row count, time range, distinct entities; per column of ``enums`` the ``top`` most frequent values (a top-n
+    section) and the number of distinct values."""
     distinct = F.approx_count_distinct(entity, 0.01) if approximate else F.countDistinct(entity)
     base = metrics(df, "table", rows=F.count(F.lit(1)), entities=distinct,
                    first=F.unix_timestamp(F.min(ts)), last=F.unix_timestamp(F.max(ts)))
@@ -264,11 +264,8 @@ def data_profile(df: DataFrame, entity: str, ts: str, enums=(), limit: int = 20,
     for c in enums:
         values = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("key")).agg(
             F.count(F.lit(1)).cast("double").alias("value"))
-        few = values.limit(limit + 1).agg(F.count(F.lit(1)) <= limit).scalar()
-        parts.append(values.withColumn("few", few).filter("few").select(F.lit(f"enum_{c}").alias("section"), "key", "value"))
+        parts.append(values.orderBy(F.desc("value"), "key").limit(top).select(F.lit(f"enum_{c}").alias("section"), "key", "value"))
+    if enums:
+        count = (lambda c: F.approx_count_distinct(c, 0.01)) if approximate else F.countDistinct
+        parts.append(metrics(df, "distinct", **{c: count(c) for c in enums}))
     return union(*parts)
-
-
-def small_enough(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True when the frame has at most ``limit`` rows (reads no more than that)."""
-    return df.limit(limit + 1).count() <= limit

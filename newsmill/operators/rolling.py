@@ -1,9 +1,4 @@
-"""Rolling statistics over row frames with constant work per row.
-
-Spark re-aggregates a sliding frame for every row, which costs rows x frame length for month-long hourly
-frames.  Here each series gets running totals once (one partitioning, one sort) and a frame is the
-difference of two of them.  Values are shifted by the first value of the series to keep the differences
-well conditioned, and frames of equal values are detected by position, not by a tiny variance."""
+"""Rolling statistics over row frames."""
 
 from __future__ import annotations
 
@@ -13,85 +8,48 @@ from newsmill.functions.market import clip
 
 
 class Rolling:
-    """Running totals of named columns of one keyed, ordered series.
+    """Statistics of one keyed, ordered series over frames ``[lo, hi]`` (row offsets, ``lo <= hi <= 0``).
 
-    ``add`` registers a column, ``prepare`` materialises the totals, the statistics methods then return
-    column expressions for frames ``[lo, hi]`` (row offsets, ``lo <= hi <= 0``) that ignore nulls."""
+    Plain aggregates over sliding row frames: a frame sees its own rows only, so a NaN or a change of level is gone once
+    it has left the frame.  All frames of a series share one partitioning and sort.  Nulls are ignored."""
 
     def __init__(self, df: DataFrame, by, order):
         self.by = [by] if isinstance(by, str) else list(by)
         self.order = [order] if isinstance(order, str) else list(order)
         self.w = W.partitionBy(*self.by).orderBy(*self.order)
-        self.running = self.w.rowsBetween(W.unboundedPreceding, 0)
         self.df = df
-        self._temp: list[str] = []
-
-    def _put(self, values: dict) -> None:
-        self.df = self.df.withColumns(values)
-        self._temp += list(values)
 
     def position(self, name: str = "position") -> "Rolling":
         self.df = self.df.withColumn(name, F.row_number().over(self.w) - 1)
         return self
 
-    def add(self, *names: str) -> "Rolling":
-        earlier = self.w.rowsBetween(W.unboundedPreceding, -1)
-        self._put({
-            **{f"__o_{n}": F.first(n, ignorenulls=True).over(self.running) for n in names},
-            **{f"__p_{n}": F.last(n, ignorenulls=True).over(earlier) for n in names},
-            **{f"__n_{n}": F.count(n).over(self.running) for n in names},
-        })
-        shifted = {n: F.coalesce(F.col(n) - F.col(f"__o_{n}"), F.lit(0.0)) for n in names}
-        changed = {n: F.col(n) != F.col(f"__p_{n}") for n in names}
-        self._put({
-            **{f"__s_{n}": F.sum(shifted[n]).over(self.running) for n in names},
-            **{f"__q_{n}": F.sum(shifted[n] * shifted[n]).over(self.running) for n in names},
-            **{f"__c_{n}": F.max(F.when(changed[n], F.col(f"__n_{n}"))).over(self.running) for n in names},
-        })
-        return self
-
-    def add_product(self, a: str, b: str) -> "Rolling":
-        """Cross moments of two added columns without nulls."""
-        x = F.col(a) - F.col(f"__o_{a}")
-        y = F.col(b) - F.col(f"__o_{b}")
-        self._put({f"__x_{a}_{b}": F.sum(F.coalesce(x * y, F.lit(0.0))).over(self.running)})
-        return self
-
-    def _at(self, col: str, offset: int) -> Column:
-        return F.col(col) if offset == 0 else F.lag(col, -offset).over(self.w)
-
-    def _diff(self, col: str, lo: int, hi: int) -> Column:
-        return F.coalesce(self._at(col, hi), F.lit(0)) - F.coalesce(self._at(col, lo - 1), F.lit(0))
+    def _over(self, value: Column, lo: int, hi: int) -> Column:
+        return value.over(self.w.rowsBetween(lo, hi))
 
     def count(self, n: str, lo: int, hi: int = 0) -> Column:
-        return self._diff(f"__n_{n}", lo, hi)
+        return self._over(F.count(n), lo, hi)
 
     def sum(self, n: str, lo: int, hi: int = 0) -> Column:
-        return self._diff(f"__s_{n}", lo, hi) + self.count(n, lo, hi) * F.col(f"__o_{n}")
+        return F.coalesce(self._over(F.sum(n), lo, hi), F.lit(0.0))
 
     def mean(self, n: str, lo: int, hi: int = 0) -> Column:
-        return F.col(f"__o_{n}") + F.try_divide(self._diff(f"__s_{n}", lo, hi), self.count(n, lo, hi))
+        return self._over(F.avg(n), lo, hi)
 
     def flat(self, n: str, lo: int, hi: int = 0) -> Column:
-        """True when all non-null values of the frame are equal."""
-        last_change = F.coalesce(self._at(f"__c_{n}", hi), F.lit(0))
-        return last_change <= F.coalesce(self._at(f"__n_{n}", lo - 1), F.lit(0)) + 1
+        """True when all non-null values of the frame are equal, or there are none."""
+        return F.coalesce(self._over(F.min(n), lo, hi) == self._over(F.max(n), lo, hi), F.lit(True))
 
     def variance(self, n: str, lo: int, hi: int = 0) -> Column:
         """Sample variance; exactly 0 for a flat frame, null below two values."""
-        k, s, q = self.count(n, lo, hi), self._diff(f"__s_{n}", lo, hi), self._diff(f"__q_{n}", lo, hi)
-        return F.when(k >= 2, F.when(self.flat(n, lo, hi), 0.0).otherwise(F.greatest((q - s * s / k) / (k - 1), F.lit(0.0))))
+        k = self.count(n, lo, hi)
+        return F.when(k >= 2, F.when(self.flat(n, lo, hi), 0.0).otherwise(self._over(F.var_samp(n), lo, hi)))
 
     def std(self, n: str, lo: int, hi: int = 0) -> Column:
         return F.sqrt(self.variance(n, lo, hi))
 
     def covariance(self, a: str, b: str, lo: int, hi: int = 0) -> Column:
-        k = self.count(a, lo, hi)
-        sa, sb = self._diff(f"__s_{a}", lo, hi), self._diff(f"__s_{b}", lo, hi)
-        return F.when(k >= 2, (self._diff(f"__x_{a}_{b}", lo, hi) - sa * sb / k) / (k - 1))
-
-    def done(self) -> DataFrame:
-        return self.df.drop(*self._temp)
+        """Sample covariance of the rows where neither is null."""
+        return self._over(F.covar_samp(a, b), lo, hi)
 
 
 def lag_value(col: str, by, order, k: int = 1) -> Column:

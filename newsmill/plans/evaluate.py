@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from newsmill.operators.ordering import avg_rank, block_of, quantile_bounds, ranks_of_counts, running_sums
+from newsmill.operators.ordering import avg_rank, block_count, block_of, quantile_bounds, ranks_of_counts, running_sums
 from newsmill.plans.market import DAY
 from newsmill.session import materialize
 
@@ -17,7 +17,7 @@ def spearman_by(pairs: DataFrame, group: list, least: int = 10) -> DataFrame:
     AQE splits when one value dominates."""
     known = pairs.filter("x is not null and y is not null")
     counted = materialize(known.groupBy(*group, "x", "y").agg(F.count(F.lit(1)).alias("n")))
-    bounds = dict(zip("xy", quantile_bounds(counted, "x", "y")))
+    bounds = dict(zip("xy", quantile_bounds(counted, "x", "y", blocks=block_count(counted))))
 
     def side(c):
         values = counted.groupBy(*group, c).agg(F.sum("n").alias("n")).withColumn("block", block_of(c, bounds[c]))

@@ -63,13 +63,13 @@ def ledger_equity(trades: DataFrame, capital: float, order="exit_time", key="id"
     cut = order_blocks(trades.withColumn("__t", F.unix_micros(F.col(order).cast("timestamp"))), "__t", key, block)
     before = carry_forward(cut.groupBy(block).agg(F.sum(pnl).alias("s")), block, {"s": "__before"})
     within = W.partitionBy(block).orderBy("__t", key).rowsBetween(W.unboundedPreceding, 0)
-    rows = cut.join(F.broadcast(before), block).withColumn(
+    rows = cut.join(before, block).withColumn(
         "equity", F.lit(float(capital)) + F.col("__before") + F.sum(pnl).over(within))
     earlier = W.orderBy(block).rowsBetween(W.unboundedPreceding, -1)
     peaks = rows.groupBy(block).agg(F.max("equity").alias("top")).select(
         block, F.greatest(F.coalesce(F.max("top").over(earlier), F.lit(float(capital))), F.lit(float(capital))).alias("__peak"))
     peak = F.greatest(F.col("__peak"), F.max("equity").over(within))
-    return rows.join(F.broadcast(peaks), block).withColumn(
+    return rows.join(peaks, block).withColumn(
         "drawdown", (peak - F.col("equity")) / peak).drop(block, "__t", "__before", "__peak")
 
 

@@ -52,13 +52,30 @@ def strict_prior_volatility(ret: str, n: int, entity="entity", min_count: int =
     return F.when(F.count(ret).over(w) >= min_count, F.stddev_samp(ret).over(w))
 
 
+def from_earlier_days(bars: DataFrame, ts: str, start, days: int, entity: str | None = None) -> DataFrame:
+    """Bars from the ``days``-th last date before ``start`` on: of the table's calendar, or, with ``entity``, from the
+    earliest such date of any entity.  The bound is a scalar subquery over the distinct dates, which keeps no more than
+    ``days`` of them per group."""
+    if start is None:
+        return bars
+    first = F.lit(start).cast("date")
+    dates = bars.filter(F.col(ts) < first.cast("timestamp")).select(*([entity] if entity else []), F.to_date(ts).alias("__d")).distinct()
+    if entity:
+        newest = dates.withColumn("__k", F.row_number().over(W.partitionBy(entity).orderBy(F.desc("__d")))).filter(F.col("__k") <= days)
+    else:
+        newest = dates.orderBy(F.desc("__d")).limit(days)
+    bound = F.coalesce(newest.agg(F.min("__d")).scalar(), first)
+    return bars.filter(F.col(ts) >= bound.cast("timestamp"))
+
+
 def forward_labels(bars: DataFrame, start=None, end=None, thresholds: dict | None = None,
                    entity="entity", ts="ts", close="close", lookback: int = 32, lookahead: int = 18) -> DataFrame:
     """Forward returns, direction labels and trailing volatility per (entity, day).
 
-    For a range of days only the bars from ``lookback`` days before to ``lookahead`` days after it are read."""
+    For a range of days the bars are read from the day on which every entity has ``lookback`` earlier days with bars
+    (31 days feed the longest frame, whatever gaps there are) to ``lookahead`` days after it."""
     thresholds = rules.LABEL_THRESHOLDS if thresholds is None else thresholds
-    bars = time_range(bars, ts, start, end, lookback, lookahead)
+    bars = from_earlier_days(time_range(bars, ts, None, end, 0, lookahead), ts, start, lookback, entity)
     daily = (
         bars.withColumn(DAY, F.to_date(ts)).groupBy(entity, DAY)
         .agg(F.max_by(close, ts).alias("close"), F.max(ts).alias("ts"))
@@ -94,7 +111,6 @@ def beta_residuals(bars: DataFrame, benchmark: str, window: int = 720, entity="e
     w = W.partitionBy(entity).orderBy(ts)
     change = lambda c: F.coalesce(M.relative_change(c, F.lag(c).over(w)), F.lit(0.0))
     roll = Rolling(pairs.withColumns({"y": change("__close"), "x": change("__bench")}), entity, ts).position()
-    roll.add("x", "y").add_product("x", "y")
     prior = (-window, -1)
     usable = (F.col("position") >= window) & ~roll.flat("x", *prior)
     beta = F.when(usable, F.try_divide(roll.covariance("x", "y", *prior), roll.variance("x", *prior)))
@@ -103,14 +119,14 @@ def beta_residuals(bars: DataFrame, benchmark: str, window: int = 720, entity="e
         "__my": roll.mean("y", *prior), "__mx": roll.mean("x", *prior),
         "__total_std": F.when(roll.count("y", -(window - 1)) >= ratio_min, roll.std("y", -(window - 1))),
     })
-    fitted = roll.done().filter(F.col("beta").isNotNull())
+    fitted = roll.df.filter(F.col("beta").isNotNull())
     fitted = fitted.withColumn("alpha", F.col("__my") - F.col("beta") * F.col("__mx"))
     fitted = fitted.withColumn("residual", F.col("y") - (F.col("alpha") + F.col("beta") * F.col("x")))
-    res = Rolling(fitted, entity, ts).add("residual")
+    res = Rolling(fitted, entity, ts)
     frame = (-(window - 1), 0)
     res_std = F.when(res.count("residual", *frame) >= ratio_min, res.std("residual", *frame))
     res.df = res.df.withColumn("residual_vol_ratio", M.clip(M.ratio(res_std, "__total_std"), 0.0, 1.0))
-    return res.done().select(
+    return res.df.select(
         entity, ts, F.round("beta", 6).alias("beta"), F.round("alpha", 8).alias("alpha"),
         F.round("residual", 8).alias("residual"), F.round("residual_vol_ratio", 6).alias("residual_vol_ratio"),
     )
@@ -148,7 +164,6 @@ def residual_features(residuals: DataFrame, volume: DataFrame | None, frames: Re
         series = series.withColumn("v", F.lit(None).cast("double"))
     w = W.partitionBy(entity).orderBy(ts)
     roll = Rolling(series.withColumn("lagged", F.lag("r").over(w)), entity, ts).position()
-    roll.add("r", "v", "lagged").add_product("lagged", "r")
     pos = F.col("position")
     tail = lambda n: (-(n - 1), 0)
     prior = (-frames.month, -1)
@@ -158,7 +173,6 @@ def residual_features(residuals: DataFrame, volume: DataFrame | None, frames: Re
         (F.col("v") - roll.mean("v", *prior)) / v_std,
     )
     roll.df = roll.df.withColumns({"rv": F.col("r") * vz})
-    roll.add("rv")
 
     def mean(n, least_n, guard=0):
         return F.when((pos >= guard) & (roll.count("r", *tail(n)) >= least_n), roll.mean("r", *tail(n)))
@@ -186,7 +200,7 @@ def residual_features(residuals: DataFrame, volume: DataFrame | None, frames: Re
         "res_volume_interaction": F.round(
             F.when(roll.count("rv", *tail(frames.day)) >= least["day"], roll.mean("rv", *tail(frames.day))), 8),
     })
-    out = roll.done().withColumn(DAY, F.to_date(ts))
+    out = roll.df.withColumn(DAY, F.to_date(ts))
     return (
         first_per_key(out, [entity, DAY], F.desc(ts)).filter(F.col("position") >= frames.week)
         .drop("position", "r", "v", "lagged", "rv")
@@ -200,11 +214,11 @@ def with_date_position(daily: DataFrame) -> DataFrame:
 
 
 def cross_section(bars: DataFrame, start=None, end=None, entity="entity", ts="ts", lookback: int = 20,
-                  group_min: int = 10, lookback_days: int = 35) -> DataFrame:
+                  group_min: int = 10) -> DataFrame:
     """Per-day ranks of each entity plus market-wide breadth, advance/decline, dispersion, concentration.
     Lags go by position in the table's calendar, not by the entity's own rows.  For a range of days the bars
-    are read from ``lookback_days`` earlier on; a day needs ``lookback`` earlier dates among them."""
-    bars = time_range(bars, ts, start, end, lookback_days)
+    are read from ``lookback`` dates of the calendar earlier on; a day needs that many earlier dates."""
+    bars = from_earlier_days(time_range(bars, ts, None, end), ts, start, lookback)
     daily = with_date_position(daily_values(bars, ["close", "volume", "market_cap"], entity, ts))
     by = W.partitionBy(entity).orderBy("pos")
     at = lambda c, k: F.max(c).over(by.rangeBetween(-k, -k))
@@ -309,7 +323,7 @@ def hourly_candle_features(bars: DataFrame, residuals: DataFrame, entity="entity
                            volume_frame: int = 168, residual_frame: int = 24) -> DataFrame:
     """Eight per-bar inputs of an hourly sequence model."""
     rows = bars.join(residuals.select(entity, ts, "residual"), [entity, ts], "left")
-    roll = Rolling(rows, entity, ts).add("volume", "residual")
+    roll = Rolling(rows, entity, ts)
     long, short = (-(volume_frame - 1), 0), (-(residual_frame - 1), 0)
     change = M.relative_change("volume", lag_value("volume", entity, ts))
     roll.df = roll.df.withColumns({
@@ -320,7 +334,7 @@ def hourly_candle_features(bars: DataFrame, residuals: DataFrame, entity="entity
         "angle": M.hour_angle(ts),
         "residual_vol_24h": roll.std("residual", *short),
     })
-    return roll.done().select(
+    return roll.df.select(
         entity, ts, "residual", "volume_change", "price_spread", "close_open_dir", "volume_zscore_7d",
         F.col("angle.sin").alias("hour_sin"), F.col("angle.cos").alias("hour_cos"), "residual_vol_24h",
     )

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from newsmill.functions import market as M, rules
+from newsmill.functions.text import text_pieces
 from newsmill.operators.keys import top_per_group
 from newsmill.plans.market import DAY
 
@@ -85,6 +86,16 @@ def score_batches(df: DataFrame, load: Callable[[], Callable], text: str, key: s
     return df.select(key, text).mapInPandas(run, schema)
 
 
+def score_texts(df: DataFrame, load: Callable[[], Callable], text: str, key: str, classes=("pos", "neg", "neu"), chars: int | None = None) -> DataFrame:
+    """Class probabilities of whole texts: every consecutive piece the model can read is scored, and a text's
+    probabilities are the mean of its pieces weighted by their lengths.  ``key`` identifies texts."""
+    pieces = df.select(key, F.explode(text_pieces(text, chars or rules.MODEL_TEXT_CHARS)).alias("__piece"))
+    pieces = pieces.select(F.struct(F.col(key).alias("key"), F.length("__piece").alias("w")).alias("__of"), "__piece")
+    scored = score_batches(pieces, load, "__piece", "__of", classes)
+    weight = F.greatest(F.col("__of.w"), F.lit(1))
+    return scored.groupBy(F.col("__of.key").alias(key)).agg(*[(F.sum(F.col(c) * weight) / F.sum(weight)).alias(c) for c in classes])
+
+
 def fit_direction_model(matrix: DataFrame, features: list, label: str, kind: str = "forest", seed: int = 42):
     """Multiclass model over a training matrix: nulls imputed per column, label -1/0/1 encoded to 0/1/2."""
     from pyspark.ml import Pipeline

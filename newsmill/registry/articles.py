@@ -35,7 +35,7 @@ TOKENS_SQL = f"""
             generate_subscripts(string_split(coalesce(categories, ''), '|'), 1) AS pos FROM v_articles)),
     ent AS (SELECT id, CASE t WHEN 'BTC' THEN 'bitcoin' WHEN 'ETH' THEN 'ethereum' WHEN 'SOL' THEN 'solana' WHEN 'XRP' THEN 'ripple' END AS e, pos FROM tok),
     ents AS (SELECT id, list(e ORDER BY pos) AS tl FROM ent WHERE e IS NOT NULL GROUP BY id),
-    nm AS (SELECT id, {names_sql(rules.NAME_ENTITIES, "lower(title || ' ' || left(body, 500))")} AS nl FROM v_articles),
+    nm AS (SELECT id, {names_sql(rules.NAME_ENTITIES, "lower(title || ' ' || body)")} AS nl FROM v_articles),
     both_lists AS (SELECT a.id, list_concat(coalesce(tl, []), list_filter(nl, lambda x: NOT list_contains(coalesce(tl, []), x))) AS l FROM v_articles a LEFT JOIN ents e ON e.id = a.id JOIN nm ON nm.id = a.id),
     mapped AS (SELECT id, CASE WHEN len(l) > 0 THEN array_to_string(l, '|') WHEN EXISTS (SELECT 1 FROM tok WHERE tok.id = b.id AND t IN ('MARKET', 'TRADING')) THEN 'bitcoin' ELSE '' END AS entities FROM both_lists b)"""
 
@@ -49,9 +49,9 @@ NAMES = {"the": "the-entity", "ring": "ring-entity", "elle": "elle-entity", "oua
 
 
 @query("map_names", f"""
-    SELECT id, array_to_string({names_sql(NAMES, "t")}, '|') AS entities FROM (SELECT id, lower(title || ' ' || left(body, 500)) AS t FROM v_articles)""")
+    SELECT id, array_to_string({names_sql(NAMES, "t")}, '|') AS entities FROM (SELECT id, lower(title || ' ' || body) AS t FROM v_articles)""")
 def _(v):
-    """Whole-word names in title and the head of the body; names of three letters or fewer are skipped."""
+    """Whole-word names in title and body, overlapping and with marks; names of three letters or fewer are skipped."""
     return v.articles.select("id", X.map_entities("categories", "title", "body", tokens={"": ""}, names=NAMES, proxy=None).alias("entities"))
 
 
@@ -117,7 +117,7 @@ def _(v):
 
 
 @query("model_text", """
-    SELECT id, CASE WHEN trim(left(body, 2000)) = '' THEN 'neutral market news' ELSE left(body, 2000) END AS text FROM v_articles""")
+    SELECT id, CASE WHEN trim(body) = '' THEN 'neutral market news' ELSE body END AS text FROM v_articles""")
 def _(v):
     return v.articles.select("id", X.model_text("body").alias("text"))
 
@@ -618,7 +618,9 @@ def _(v):
 
 @query("data_profile", " UNION ALL ".join([
     long_sql("table", "orders", rows="count(*)", entities="count(DISTINCT o_custkey)", first="epoch(min(o_orderdate))", last="epoch(max(o_orderdate))"),
-    top_sql("enum_o_orderstatus", "o_orderstatus", "orders"), top_sql("enum_o_orderpriority", "o_orderpriority", "orders")]))
+    top_sql("enum_o_orderstatus", "o_orderstatus", "orders"), top_sql("enum_o_orderpriority", "o_orderpriority", "orders"),
+    top_sql("enum_o_custkey", "CAST(o_custkey AS VARCHAR)", "orders", 20),
+    long_sql("distinct", "orders", o_orderstatus="count(DISTINCT o_orderstatus)", o_orderpriority="count(DISTINCT o_orderpriority)", o_custkey="count(DISTINCT o_custkey)")]))
 def _(v):
     return P.data_profile(v.table("orders"), "o_custkey", "o_orderdate", ["o_orderstatus", "o_orderpriority", "o_custkey"])
 

@@ -284,11 +284,15 @@ def _lexicon():
 
 
 @query("score_batches", """
-    SELECT id, round(p / (p + n + 2), 6) AS pos, round(n / (p + n + 2), 6) AS neg, round(2 / (p + n + 2), 6) AS neu
-    FROM (SELECT id, length(t) - length(replace(t, 'e', '')) + 1 AS p, length(t) - length(replace(t, 'o', '')) + 1 AS n FROM (SELECT id, CASE WHEN trim(left(body, 2000)) = '' THEN 'neutral market news' ELSE left(body, 2000) END AS t FROM v_articles))""")
+    WITH t AS (SELECT id, CASE WHEN trim(body) = '' THEN 'neutral market news' ELSE body END AS t FROM v_articles),
+    x AS (SELECT id, substr(t, i * 2000 + 1, 2000) AS t FROM (SELECT id, t, unnest(range(0, (length(t) + 1999) // 2000)) AS i FROM t)),
+    c AS (SELECT id, length(t) AS w, length(t) - length(replace(t, 'e', '')) + 1 AS p, length(t) - length(replace(t, 'o', '')) + 1 AS n FROM x)
+    SELECT id, round(sum(w * p / (p + n + 2)) / sum(w), 6) AS pos, round(sum(w * n / (p + n + 2)) / sum(w), 6) AS neg, round(sum(w * 2 / (p + n + 2)) / sum(w), 6) AS neu
+    FROM c GROUP BY id""")
 def _(v):
+    """Whole articles in pieces the model can read."""
     from newsmill.functions.text import model_text
-    out = S.score_batches(v.articles.select("id", model_text("body").alias("text")), _lexicon, "text", "id")
+    out = S.score_texts(v.articles.select("id", model_text("body").alias("text")), _lexicon, "text", "id")
     return out.select("id", *[F.round(c, 6).alias(c) for c in ("pos", "neg", "neu")])
 
 

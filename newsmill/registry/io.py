@@ -140,7 +140,7 @@ def _(v):
 
 
 @query("flatten_articles", """
-    SELECT id AS "ID", title AS "TITLE", source AS "SOURCE_KEY", source_name AS "SOURCE_NAME", coalesce(replace(categories, '|', ', '), '') AS "CATEGORIES", left(body, 5000) AS "BODY", length(body) AS "BODY_LENGTH" FROM v_articles""")
+    SELECT id AS "ID", title AS "TITLE", source AS "SOURCE_KEY", source_name AS "SOURCE_NAME", coalesce(replace(categories, '|', ', '), '') AS "CATEGORIES", body AS "BODY", length(body) AS "BODY_LENGTH" FROM v_articles""")
 def _(v):
     from newsmill.functions.text import split_labels
     records = v.articles.select(

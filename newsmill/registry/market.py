@@ -91,12 +91,12 @@ def _(v):
            CASE WHEN stddev_samp(volume) OVER w > 0 THEN round((volume - avg(volume) OVER w) / stddev_samp(volume) OVER w, 6) END AS volume_z
     FROM v_hourly_bars WINDOW w AS (PARTITION BY entity ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW)""")
 def _(v):
-    roll = rolling.Rolling(v.hourly_bars.withColumn("close", F.ln("close")), "entity", "ts").add("close", "volume")
+    roll = rolling.Rolling(v.hourly_bars.withColumn("close", F.ln("close")), "entity", "ts")
     f = (-47, 0)
     z = M.ratio(F.col("volume") - roll.mean("volume", *f), roll.std("volume", *f))
     roll.df = roll.df.withColumns({
         "mean_48": F.round(roll.mean("close", *f), 6), "std_48": F.round(roll.std("close", *f), 6), "volume_z": F.round(z, 6)})
-    return roll.done().select("entity", "ts", "mean_48", "std_48", "volume_z")
+    return roll.df.select("entity", "ts", "mean_48", "std_48", "volume_z")
 
 
 @query("avg_tie_pct_rank", """

@@ -19,9 +19,6 @@ RUNTIME_CONF = {
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
 }
 
-# Largest dimension (rows) that is ever broadcast by an explicit hint in this library.
-BROADCAST_ROW_LIMIT = 1_000_000
-
 
 def build_session(app: str = "newsmill", master: str | None = None, **conf: str) -> SparkSession:
     """Start (or reuse) a session; on a cluster leave ``master`` unset and let spark-submit decide."""

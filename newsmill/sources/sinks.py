@@ -66,12 +66,12 @@ def refresh_view(spark: SparkSession, build, path: str, partition: str = "date")
     return spark.read.parquet(path).count()
 
 
-def flatten_articles(records: DataFrame, body_chars: int = 5000) -> DataFrame:
-    """Nested article export: category names joined, source fields lifted, body cut as the format defines."""
+def flatten_articles(records: DataFrame, body_chars: int | None = None) -> DataFrame:
+    """Nested article export: category names joined, source fields lifted, the whole body (or its first ``body_chars`` characters)."""
     names = F.array_join(F.transform("CATEGORY_DATA", lambda c: c["NAME"]), ", ")
     return records.select(
         "ID", "TITLE", F.col("SOURCE_DATA.SOURCE_KEY").alias("SOURCE_KEY"), F.col("SOURCE_DATA.NAME").alias("SOURCE_NAME"),
-        F.coalesce(names, F.lit("")).alias("CATEGORIES"), F.substring("BODY", 1, body_chars).alias("BODY"),
+        F.coalesce(names, F.lit("")).alias("CATEGORIES"), (F.substring("BODY", 1, body_chars) if body_chars else F.col("BODY")).alias("BODY"),
         F.length(F.coalesce("BODY", F.lit(""))).alias("BODY_LENGTH"))
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsmill.functions import text as X
-from newsmill.operators.merge import append_new, merge_into_table
+from newsmill.operators.merge import append_new, merge_into_table, replace_partitions
 from newsmill.plans.news import is_breaking
+from newsmill.session import materialize
 
 
 def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int = 1000, **options) -> DataFrame:
@@ -16,14 +17,8 @@ def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", m
 
 def stream_dedup(articles: DataFrame, key: str = "url", ts: str = "published_on", delay: str = "2 hours") -> DataFrame:
     """Drop re-sent articles; state is kept only for the watermark span.  Lasting uniqueness belongs to the
-    table (:func:`upsert_sink`).  Repeats inside one Arrow batch go before the shuffle, so a link that makes
-    up much of the stream does not arrive row by row at one state partition."""
-    def thin(batches):
-        for pdf in batches:
-            yield pdf.drop_duplicates(key)
-
-    slim = articles.mapInPandas(thin, articles.schema)
-    return slim.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    table (:func:`upsert_sink`)."""
+    return articles.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
 def stream_counts(articles: DataFrame, ts: str = "published_on", width: str = "1 hour", slide: str | None = None,
@@ -52,8 +47,6 @@ def stream_enrich(articles: DataFrame, sources: DataFrame | None = None, **maps)
 def upsert_sink(stream: DataFrame, path: str, keys: list, order, partition: str, checkpoint: str, mode: str = "update"):
     """Micro-batches merged into a partitioned table; a replayed batch gives the same table."""
     def merge(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
         if mode == "ignore":
             append_new(path, batch, keys, order, partition)
         else:
@@ -79,17 +72,18 @@ def complete_sink(stream: DataFrame, path: str, checkpoint: str):
 
 def incremental_refresh(changed: DataFrame, history: DataFrame, build, path: str, checkpoint: str, keys: list,
                         partition: str = "date", lookback_days: int = 30, lookahead_days: int = 0):
-    """Recompute only the days a micro-batch touches.
+    """Recompute only the days a micro-batch touches: each changed day and the ``lookahead_days`` after it.
 
-    ``build(rows)`` turns history rows (with a ``date`` column) into output rows with the same ``date``; days
-    ``[first changed - 0, last changed + lookahead]`` are rewritten from history starting ``lookback`` earlier."""
+    ``build(rows)`` turns history rows (with a ``date`` column) into output rows with the same ``date``; it reads history
+    from ``lookback_days`` before the first touched day to the last.  The touched days are replaced as they are
+    recomputed, so rows that history no longer supports disappear."""
     def refresh(batch: DataFrame, _: int) -> None:
-        span = batch.agg(F.min(partition).alias("lo"), F.max(partition).alias("hi")).first()
+        days = materialize(batch.select(F.explode(F.sequence(partition, F.date_add(partition, lookahead_days))).alias(partition)).distinct())
+        span = days.agg(F.min(partition).alias("lo"), F.max(partition).alias("hi")).first()
         if span["lo"] is None:
             return
-        lo, hi = F.lit(span["lo"]), F.date_add(F.lit(span["hi"]), lookahead_days)
-        rows = history.filter(F.col(partition).between(F.date_sub(lo, lookback_days), hi))
-        out = build(rows).filter(F.col(partition).between(lo, hi))
-        merge_into_table(path, out, keys, keys, partition)
+        rows = history.filter(F.col(partition).between(F.date_sub(F.lit(span["lo"]), lookback_days), F.lit(span["hi"])))
+        out = build(rows).join(days, partition, "left_semi")
+        replace_partitions(path, out, partition, days, days.sparkSession.read.parquet(path).schema)
 
     return changed.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -149,7 +149,9 @@ def test_profiles_on_edges(spark):
     assert got[("totals", "unique_categories")] == 3  # a doubled delimiter yields an empty label
     assert got[("totals", "unique_tags")] == 0
     enums = P.data_profile(spark.range(30).selectExpr("id", "id % 3 AS small", "timestamp'2024-01-01' AS t"), "id", "t", ["small", "id"])
-    assert {r["section"] for r in enums.collect()} == {"table", "enum_small"}
+    found = {(r["section"], r["key"]): r["value"] for r in enums.collect()}
+    assert {s for s, _ in found} == {"table", "enum_small", "enum_id", "distinct"}
+    assert found[("distinct", "id")] == 30 and found[("distinct", "small")] == 3 and sum(s == "enum_id" for s, _ in found) == 20
 
 
 def test_merge_keeps_rows_of_the_null_partition(spark, tmp_path, rows):

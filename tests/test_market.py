@@ -180,9 +180,9 @@ def test_pct_rank_matches_average_ties(spark):
 def test_rolling_totals(spark, lo, hi):
     rng = np.random.default_rng(11)
     x = [None if rng.random() < 0.2 else float(rng.integers(0, 3)) + 1e6 for _ in range(60)]
-    roll = Rolling(spark.createDataFrame([("a", i, v) for i, v in enumerate(x)], "k string, i int, x double"), "k", "i").add("x")
+    roll = Rolling(spark.createDataFrame([("a", i, v) for i, v in enumerate(x)], "k string, i int, x double"), "k", "i")
     roll.df = roll.df.withColumns({"n": roll.count("x", lo, hi), "m": roll.mean("x", lo, hi), "s": roll.std("x", lo, hi), "t": roll.sum("x", lo, hi)})
-    for r in roll.done().collect():
+    for r in roll.df.collect():
         part = [v for v in x[max(0, r["i"] + lo):max(0, r["i"] + hi + 1)] if v is not None]
         assert r["n"] == len(part)
         assert close_to(r["m"], np.mean(part) if part else None) and close_to(r["s"], np.std(part, ddof=1) if len(part) > 1 else None)
@@ -243,3 +243,27 @@ def test_ranges_equal_full_runs(spark):
         for k, r in full.items():
             for a, b in zip(r, part[k]):
                 assert a == b or a == pytest.approx(b, abs=1e-9)
+
+
+@pytest.mark.parametrize("values", [[1.0, 2.0, float("nan")] + [float(i % 5) for i in range(30)], [1e10] * 10 + [100.0 + i % 4 for i in range(40)]])
+def test_rolling_forgets_what_left_the_frame(spark, values):
+    rows = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "k string, i int, x double")
+    roll = Rolling(rows, "k", "i")
+    got = {r["i"]: r for r in roll.df.withColumns({"m": roll.mean("x", -4), "s": roll.std("x", -4)}).collect()}
+    for i in range(len(values)):
+        part = values[max(0, i - 4):i + 1]
+        if not any(np.isnan(part)) and len(part) > 1:
+            assert close_to(got[i]["m"], np.mean(part)) and close_to(got[i]["s"], np.std(part, ddof=1))
+
+
+def test_ranged_calls_equal_the_whole_on_gappy_calendars(spark):
+    import datetime as dt
+    rng = np.random.default_rng(2)
+    day0 = dt.datetime(2023, 1, 2)
+    rows = [(f"e{e}", day0 + dt.timedelta(days=7 * w + d, hours=23), float(100 + rng.integers(0, 50)), float(rng.integers(1, 90)), 1e6 * (e + 1))
+            for w in range(90) for d in (0, 3) for e in range(12) if e or w % 5 == 0]
+    bars = spark.createDataFrame(rows, "entity string, ts timestamp, close double, volume double, market_cap double")
+    lo, hi = "2024-06-03", "2024-07-15"
+    for whole, part in ((market.forward_labels(bars), market.forward_labels(bars, lo, hi)), (market.cross_section(bars), market.cross_section(bars, lo, hi))):
+        want = sorted(map(str, whole.where(f"date between '{lo}' and '{hi}'").collect()))
+        assert want and sorted(map(str, part.collect())) == want

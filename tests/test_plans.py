@@ -55,4 +55,4 @@ def test_merge_prunes_untouched_partitions(spark, tmp_path):
     inc = spark.sql("SELECT 9 AS id, date'2024-01-03' AS d")
     rows = touched_partitions(spark.read.parquet(path), inc, "d")
     assert [r["id"] for r in rows.collect()] == [2]
-    assert "PartitionFilters: [isnotnull(d" in plan(rows) and "2024-01-03" in plan(rows).split("PartitionFilters")[1] or "19725" in plan(rows)
+    assert "PartitionFilters: [isnotnull(d" in plan(rows) and "subquery" in plan(rows).split("PartitionFilters")[1].split("\n")[0].lower()

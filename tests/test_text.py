@@ -20,7 +20,7 @@ def one(spark, column, **values):
     ("MARKET|TRADING", "quiet day", "", ["bitcoin"]),
     ("OTHER", "quiet day", "", []),
     ("", "neo and eos", None, []),  # names of three letters are not searched
-    ("", "", "x" * 495 + " bitcoin", []),  # only the first 500 characters of the body count
+    ("", "", "x" * 4950 + " bitcoin", ["bitcoin"]),  # the whole body counts
     ("", "", "x" * 480 + " bitcoin", ["bitcoin"]),
     ("", "ébitcoin", "", []),  # an accented letter is part of the word
 ])
@@ -61,7 +61,8 @@ def test_scores_and_text_guard(spark):
     r = df.select(X.polarity_score("p", "n", "u").alias("s"), X.composite_score(F.lit(0.5), F.lit(-0.25)).alias("c")).first()
     assert (r["s"]["score"], r["s"]["confidence"], r["c"]) == (0.6, 0.7, 0.05)
     assert one(spark, X.model_text("t"), t=" \n ") == rules.BLANK_TEXT
-    assert len(one(spark, X.model_text("t"), t="a" * 3000)) == 2000
+    assert len(one(spark, X.model_text("t"), t="a" * 3000)) == 3000
+    assert [len(p) for p in one(spark, X.text_pieces("t", 2000), t="a" * 4500)] == [2000, 2000, 500]
     assert one(spark, X.word_count("t", "u"), t="  two  words ", u=None) == 2
 
 
@@ -69,3 +70,11 @@ def test_keyword_classes(spark):
     assert one(spark, X.matching_classes(F.col("t"), rules.CATEGORY_TOPIC_CLASSES), t="defi trading") == ["trading_related", "tech_related"]
     assert one(spark, X.matching_classes(F.col("t"), rules.CATEGORY_TOPIC_CLASSES), t="zzz") == ["other"]
     assert one(spark, X.first_class(F.col("t"), rules.CATEGORY_NAME_CLASSES), t="nft launch") == "topics"
+
+
+def test_names_overlap_and_hold_marks(spark):
+    from newsmill.functions import text as X
+    names = {"Bitcoin": "btc", "bitcoin cash": "bch", "cash token": "ct", "c++x": "cpp", "a.b+": "ab"}
+    df = spark.createDataFrame([("Bitcoin Cash Token rises", "x" * 3000 + " C++X and a.b+!"), ("bitcoins axb+", "")], "title string, body string")
+    got = [r[0] for r in df.select(X.map_entities("title", "title", "body", tokens={"": ""}, names=names, proxy=None)).collect()]
+    assert got == [["btc", "bch", "ct", "cpp", "ab"], []]
