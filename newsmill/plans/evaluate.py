@@ -140,11 +140,18 @@ def daily_top(df: DataFrame, signal: str, ret: str, n: int, day: str = DAY, enti
 
 
 def equity_curve(daily: DataFrame, day: str = DAY, pnl: str = "pnl") -> DataFrame:
-    """Compounded equity and drawdown of one return per day (a calendar-sized table)."""
+    """Compounded equity and drawdown of one return per day (a calendar-sized table).
+
+    Compounded as a sum of logarithms, so long series neither overflow nor vanish in ``log_equity`` and ``drawdown``.  A
+    return of -1 or less loses everything: equity is 0 and drawdown -1 from that day on."""
     w = W.orderBy(day).rowsBetween(W.unboundedPreceding, 0)
-    curve = daily.withColumn("equity", F.product(1 + F.coalesce(F.col(pnl), F.lit(0.0))).over(w))
-    peak = F.max("equity").over(w)
-    return curve.withColumn("drawdown", (F.col("equity") - peak) / peak)
+    r = F.coalesce(F.col(pnl), F.lit(0.0))
+    alive = F.min(r).over(w) > -1
+    curve = daily.withColumn("log_equity", F.when(alive, F.sum(F.when(r > -1, F.log1p(r))).over(w)))
+    peak = F.max("log_equity").over(w)
+    lost = F.col("log_equity").isNull()
+    return curve.withColumn("equity", F.when(lost, 0.0).otherwise(F.exp("log_equity"))).withColumn(
+        "drawdown", F.when(lost, -1.0).otherwise(F.exp(F.col("log_equity") - peak) - 1))
 
 
 def topn_portfolio(df: DataFrame, signal: str, ret: str, n: int = 20, hold_days: int = 3, day: str = DAY,
@@ -156,12 +163,23 @@ def topn_portfolio(df: DataFrame, signal: str, ret: str, n: int = 20, hold_days:
         F.round(ok(F.when(std > 0, F.avg("pnl") / std * F.sqrt(F.lit(252.0)))), 4).alias("sharpe"),
         F.round(ok(F.min("drawdown")), 4).alias("max_drawdown"),
         F.round(ok(F.max_by("equity", day) - 1), 4).alias("total_return"),
+        F.round(ok(F.max_by("log_equity", day)), 4).alias("log_return"),
         F.round(ok(F.avg((F.col("pnl") > 0).cast("double"))), 4).alias("win_rate"),
         F.coalesce(ok(F.count("pnl") * n), F.lit(0)).cast("bigint").alias("total_trades"),
         F.lit(hold_days).alias("avg_holding_days"),
     )
 
 
+def pearson_ic(df: DataFrame, signal: str, ret: str, by=(), least: int = 11) -> DataFrame:
+    """Linear correlation of signal and return (per ``by``) over rows that have both; null below ``least`` rows."""
+    rows = df.filter(F.col(signal).isNotNull() & F.col(ret).isNotNull())
+    n = F.count(F.lit(1))
+    # try_divide of the moments: a constant side gives null
+    cov, sx, sy = F.covar_pop(signal, ret), F.stddev_pop(signal), F.stddev_pop(ret)
+    ic = F.when((n >= least) & (sx > 0) & (sy > 0), F.try_divide(cov, sx * sy))
+    return rows.groupBy(*by).agg(n.alias("n"), F.round(ic, 4).alias("pearson_ic"))
+
+
 def return_stats(daily: DataFrame, day: str = DAY, pnl: str = "pnl") -> DataFrame:
     """Sharpe (sample std) and drawdown of a daily return series; unknown returns count 0 in the curve."""
     std = F.stddev_samp(pnl)

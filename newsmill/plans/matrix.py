@@ -18,6 +18,7 @@ class FeatureTable:
     cols: list
     ts: str = "ts"
     market_wide: bool = False
+    order: tuple = ()  # further columns, largest first, that decide between rows of one time
 
 
 def with_columns_or_null(df: DataFrame, keys: list, cols: list) -> DataFrame:
@@ -38,11 +39,14 @@ def feature_matrix(anchor: DataFrame, tables: list[FeatureTable], entity="entity
             continue
         if table.market_wide:
             side = table.frame.withColumn(DAY, F.to_date(table.ts)).groupBy(DAY).agg(
-                *[F.max_by(c, table.ts).alias(c) for c in table.cols])
+                *[F.max_by(c, F.struct(table.ts, *table.order)).alias(c) for c in table.cols])
             out = out.join(side, DAY, "left")
         else:
-            side = latest_per_key_day(with_columns_or_null(table.frame, [entity, table.ts], table.cols), entity, table.ts)
-            out = out.join(side.drop(table.ts), [entity, DAY], "left")
+            side = with_columns_or_null(table.frame, [entity, table.ts, *[c for c in table.order if c not in table.cols]], table.cols)
+            # without an order of its own a table's values decide, so reruns agree
+            ties = [F.desc(c) for c in table.order or table.cols]
+            side = latest_per_key_day(side, entity, table.ts, ties).select(entity, DAY, *table.cols)
+            out = out.join(side, [entity, DAY], "left")
     return out
 
 

@@ -49,9 +49,10 @@ def share_of_total(df: DataFrame, key: str) -> DataFrame:
 
 
 def search(articles: DataFrame, word: str, title: bool = True, body: bool = True) -> DataFrame:
-    """Case-insensitive containment in title and/or body with the place of the first hit."""
-    pattern = f"%{word}%"
-    in_title, in_body = F.col("title").ilike(pattern), F.col("body").ilike(pattern)
+    """Case-insensitive containment in title and/or body with the place of the first hit; ``%`` and ``_`` stand for
+    themselves."""
+    part = F.lower(F.lit(word))
+    in_title, in_body = F.lower("title").contains(part), F.lower("body").contains(part)
     cond = (in_title | in_body) if title and body else (in_title if title else in_body)
     return articles.filter(cond).withColumn(
         "found_in", F.when(in_title, "title").when(in_body, "body").otherwise("both"))
@@ -105,12 +106,14 @@ def hourly_distinct(articles: DataFrame) -> DataFrame:
     return articles.groupBy(F.date_trunc("hour", "published_on").alias("hour")).agg(F.countDistinct("url").alias("urls"))
 
 
+def rate_columns(urls) -> list:
+    return [F.count(urls).alias("hours"), F.coalesce(F.sum(urls), F.lit(0)).alias("total"),
+            F.coalesce(F.round(F.avg(urls), 1), F.lit(0.0)).alias("avg_per_hour"), F.coalesce(F.max(urls), F.lit(0)).alias("max_per_hour")]
+
+
 def rate_summary(articles: DataFrame, where) -> DataFrame:
     """Hours covered, total, average and maximum of distinct urls per hour for the rows of a condition."""
-    return hourly_distinct(articles.filter(where)).agg(
-        F.count(F.lit(1)).alias("hours"), F.coalesce(F.sum("urls"), F.lit(0)).alias("total"),
-        F.coalesce(F.round(F.avg("urls"), 1), F.lit(0.0)).alias("avg_per_hour"),
-        F.coalesce(F.max("urls"), F.lit(0)).alias("max_per_hour"))
+    return hourly_distinct(articles.filter(where)).agg(*rate_columns(F.col("urls")))
 
 
 def ingest_rate(articles: DataFrame, now, cutover) -> DataFrame:
@@ -121,11 +124,13 @@ def ingest_rate(articles: DataFrame, now, cutover) -> DataFrame:
         "last_24h": F.col("fetched_at") >= now_ - F.expr("INTERVAL 24 HOURS"),
         "live": live, "baseline": F.col("fetched_at") < cut,
     }
-    out = None
-    for name, cond in parts.items():
-        row = rate_summary(articles, cond).select(F.lit(name).alias("period"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+    periods = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in parts.items()]))
+    hours = articles.select("published_on", "url", F.explode(periods).alias("period")).groupBy(
+        "period", F.date_trunc("hour", "published_on").alias("hour")).agg(F.countDistinct("url").alias("urls"))
+    row = {name: rate_columns(F.when(F.col("period") == name, F.col("urls"))) for name in parts}
+    # one global aggregate: a period without rows keeps its row of zeros
+    wide = hours.agg(*[F.struct(F.lit(name).alias("period"), *cols).alias(name) for name, cols in row.items()])
+    return wide.select(F.inline(F.array(*parts)))
 
 
 def last_day_stats(articles: DataFrame, now=None, long_body: int = 300) -> DataFrame:

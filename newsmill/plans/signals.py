@@ -10,6 +10,7 @@ from newsmill.functions import market as M, rules
 from newsmill.functions.text import text_pieces
 from newsmill.operators.keys import top_per_group
 from newsmill.plans.market import DAY
+from newsmill.session import materialize
 
 
 def encode_label(label):
@@ -48,10 +49,16 @@ def signal_table(probs: DataFrame, regime: DataFrame, entity="entity", model="mo
     return history_zscore(rows, entity, model).withColumn("raw_score", F.round("raw_score", 6))
 
 
-def select_candidates(signals: DataFrame, tradeable: list | None, long_above: float, short_below: float,
+def select_candidates(signals: DataFrame, tradeable: DataFrame | list | None, long_above: float, short_below: float,
                       n: int = 15, latest_only: bool = True, entity="entity", score="signal_score") -> DataFrame:
-    """Top longs above and bottom shorts below the cut-offs, for the newest day or for every day."""
-    rows = signals if tradeable is None else signals.filter(F.col(entity).isin(tradeable))
+    """Top longs above and bottom shorts below the cut-offs, for the newest day or for every day.  ``tradeable`` is a
+    table with the entity column, or a short list."""
+    if tradeable is None:
+        rows = signals
+    elif isinstance(tradeable, DataFrame):
+        rows = signals.join(tradeable.select(entity), entity, "left_semi")
+    else:
+        rows = signals.filter(F.col(entity).isin(tradeable))
     if latest_only:
         rows = rows.filter(F.col(DAY) == signals.agg(F.max(DAY)).scalar())
     longs = top_per_group(rows.filter(F.col(score) > long_above), DAY, [F.desc(score), F.col(entity)], n)
@@ -113,7 +120,7 @@ def fit_direction_model(matrix: DataFrame, features: list, label: str, kind: str
         model,
     ]
     rows = matrix.filter(F.col(label).isNotNull()).withColumn("__y", encode_label(label).cast("double"))
-    rows = rows.select("__y", *[F.col(c).cast("double").alias(c) for c in features])
+    rows = materialize(rows.select("__y", *[F.col(c).cast("double").alias(c) for c in features]))  # every stage reads it
     return Pipeline(stages=stages).fit(rows)
 
 
@@ -124,3 +131,34 @@ def predict_direction(model, matrix: DataFrame, features: list, keys: list) -> D
     p = vector_to_array("probability")
     return model.transform(rows).select(
         *keys, *[F.try_element_at(p, F.lit(i + 1)).alias(n) for i, n in enumerate(("p_sell", "p_hold", "p_buy"))])
+
+
+def walkforward_scores(rows: DataFrame, folds: DataFrame, features: list, label: str, keys: list, kind: str = "forest", seed: int = 42) -> DataFrame:
+    """Out-of-sample scores: per anchor a model fitted on the fold's train rows scores its test rows.
+
+    ``rows`` is a matrix with folds assigned on read (:func:`newsmill.plans.matrix.assign_folds`); the driver loops over
+    the anchors only, each fit and each scoring runs on Spark.  Anchors without labelled train rows give no rows.
+    Returns anchor, the keys and the class probabilities."""
+    from newsmill.plans.matrix import assign_folds
+
+    wanted = list(dict.fromkeys([*keys, DAY, label, *features]))
+    held = materialize(assign_folds(rows.select(*wanted), folds.filter("role in ('train', 'test')")))
+    usable = held.filter((F.col("role") == "train") & F.col(label).isNotNull()).select("anchor").distinct()
+    out = held.sparkSession.createDataFrame([], T.StructType([held.schema["anchor"], *[held.schema[k] for k in keys],
+                                                              *[T.StructField(c, T.DoubleType()) for c in ("p_sell", "p_hold", "p_buy")]]))
+    for r in usable.orderBy("anchor").toLocalIterator():
+        fold = held.filter(F.col("anchor") == r["anchor"])
+        model = fit_direction_model(fold.filter("role = 'train'"), features, label, kind, seed)
+        out = out.unionByName(predict_direction(model, fold.filter("role = 'test'"), features, ["anchor", *keys]))
+    return out
+
+
+def fold_report(scored: DataFrame, truth: DataFrame, label: str, ret: str, keys: list) -> DataFrame:
+    """Per anchor: scored rows, accuracy of the likeliest class over labelled rows, and the linear correlation of
+    p_buy - p_sell with the return."""
+    from newsmill.plans.evaluate import pearson_ic
+
+    best = F.when((F.col("p_buy") >= F.col("p_hold")) & (F.col("p_buy") >= F.col("p_sell")), 1).when(F.col("p_hold") >= F.col("p_sell"), 0).otherwise(-1)
+    rows = scored.join(truth.select(*keys, label, ret), keys, "left").withColumn("__lean", F.col("p_buy") - F.col("p_sell"))
+    counts = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("scored"), F.round(F.avg((best == F.col(label)).cast("double")), 4).alias("accuracy"))
+    return counts.join(pearson_ic(rows, "__lean", ret, ["anchor"]).drop("n"), "anchor", "left")

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from newsmill.functions import market as M
 from newsmill.operators.keys import top_k
 from newsmill.operators.ordering import running_sums, value_ranks
-from newsmill.plans import evaluate as Ev, signals as S
+from newsmill.plans import evaluate as Ev, matrix, signals as S
 from newsmill.registry import query
 from newsmill.registry.market import REGIME_SQL, _regime
+from newsmill.session import materialize
 
 AVG_RANK = "(rank() OVER ({p} ORDER BY {x}) + (count(*) OVER (PARTITION BY {g}{x}) - 1) / 2.0)"
 
@@ -118,26 +119,26 @@ def _(v):
 TOP = """
     ranked AS (SELECT date, forward_ret_3d AS r, row_number() OVER (PARTITION BY date ORDER BY signal_score DESC, entity) AS rk FROM v_signals WHERE forward_ret_3d IS NOT NULL),
     day AS (SELECT date, avg(r) AS pnl FROM ranked WHERE rk <= 5 GROUP BY date HAVING count(*) = 5),
-    curve AS (SELECT date, pnl, exp(sum(ln(1 + pnl)) OVER (ORDER BY date)) AS eq FROM day), dd AS (SELECT *, max(eq) OVER (ORDER BY date) AS peak FROM curve)"""
+    curve AS (SELECT date, pnl, sum(ln(1 + pnl)) OVER (ORDER BY date) AS lg FROM day), dd AS (SELECT *, exp(lg - max(lg) OVER (ORDER BY date)) - 1 AS down FROM curve)"""
 
 
 @query("topn_portfolio", f"""WITH {TOP}
-    SELECT CASE WHEN count(*) >= 5 THEN round(avg(pnl) / stddev_pop(pnl) * sqrt(252), 4) END AS sharpe, CASE WHEN count(*) >= 5 THEN round(min((eq - peak) / peak), 4) END AS max_drawdown,
+    SELECT CASE WHEN count(*) >= 5 THEN round(avg(pnl) / stddev_pop(pnl) * sqrt(252), 4) END AS sharpe, CASE WHEN count(*) >= 5 THEN round(min(down), 4) + 0.0 END AS max_drawdown, CASE WHEN count(*) >= 5 THEN round(exp(arg_max(lg, date)) - 1, 4) END AS total_return, CASE WHEN count(*) >= 5 THEN round(arg_max(lg, date), 4) + 0.0 END AS log_return,
         CASE WHEN count(*) >= 5 THEN round(avg(CAST(pnl > 0 AS INT)), 4) END AS win_rate, CASE WHEN count(*) >= 5 THEN count(*) * 5 ELSE 0 END AS total_trades, 3 AS avg_holding_days FROM dd""")
 def _(v):
-    return Ev.topn_portfolio(v.signals, "signal_score", "forward_ret_3d", 5).drop("total_return")
+    return Ev.topn_portfolio(v.signals, "signal_score", "forward_ret_3d", 5)
 
 
-@query("equity_curve", f"WITH {TOP} SELECT CAST(date AS VARCHAR) AS date, round(pnl, 6) + 0.0 AS pnl, round(ln(eq), 6) + 0.0 AS log_equity, round((eq - peak) / peak, 6) + 0.0 AS drawdown FROM dd")
+@query("equity_curve", f"WITH {TOP} SELECT CAST(date AS VARCHAR) AS date, round(pnl, 6) + 0.0 AS pnl, round(lg, 6) + 0.0 AS log_equity, round(down, 6) + 0.0 AS drawdown FROM dd")
 def _(v):
     curve = Ev.equity_curve(Ev.daily_top(v.signals, "signal_score", "forward_ret_3d", 5))
-    return curve.select("date", F.round("pnl", 6).alias("pnl"), F.round(F.ln("equity"), 6).alias("log_equity"), F.round("drawdown", 6).alias("drawdown"))
+    return curve.select("date", F.round("pnl", 6).alias("pnl"), F.round("log_equity", 6).alias("log_equity"), F.round("drawdown", 6).alias("drawdown"))
 
 
 @query("return_stats", """
     WITH top AS (SELECT date, avg(r) AS pnl FROM (SELECT date, forward_ret_1d AS r, row_number() OVER (PARTITION BY date ORDER BY signal_score DESC, entity) AS rk FROM v_signals) WHERE rk <= 5 GROUP BY date),
-    c AS (SELECT date, pnl, exp(sum(ln(1 + coalesce(pnl, 0))) OVER (ORDER BY date)) AS eq FROM top), d AS (SELECT *, max(eq) OVER (ORDER BY date) AS peak FROM c)
-    SELECT round(avg(pnl) / stddev_samp(pnl) * sqrt(252), 4) AS sharpe, round(min((eq - peak) / peak), 4) AS max_drawdown, count(pnl) AS days FROM d""")
+    c AS (SELECT date, pnl, sum(ln(1 + coalesce(pnl, 0))) OVER (ORDER BY date) AS lg FROM top), d AS (SELECT *, exp(lg - max(lg) OVER (ORDER BY date)) - 1 AS down FROM c)
+    SELECT round(avg(pnl) / stddev_samp(pnl) * sqrt(252), 4) AS sharpe, round(min(down), 4) + 0.0 AS max_drawdown, count(pnl) AS days FROM d""")
 def _(v):
     return Ev.return_stats(Ev.daily_top(v.signals, "signal_score", "forward_ret_1d", 5, full_only=False))
 
@@ -175,12 +176,19 @@ def _(v):
     WITH {CLF}, {ROLLING}, {TOP},
     i1 AS ({ic_sql("forward_ret_1d")}), i3 AS ({ic_sql("forward_ret_3d")}), i7 AS ({ic_sql("forward_ret_7d")}),
     rs AS (SELECT round(avg(ic), 6) AS m, round(stddev_pop(ic), 6) AS s, round(avg(ic) / stddev_pop(ic), 4) AS r FROM roll),
-    pf AS (SELECT count(*) AS k, round(avg(pnl) / stddev_pop(pnl) * sqrt(252), 4) AS sharpe, round(min((eq - peak) / peak), 4) AS mdd, round(avg(CAST(pnl > 0 AS INT)), 4) AS wr FROM dd)
-    SELECT unnest(['ic_1d', 'ic_3d', 'ic_7d', 'ic_3d_mean', 'ic_3d_std', 'icir', 'accuracy', 'precision_buy', 'recall_buy', 'f1_buy', 'sharpe', 'max_drawdown', 'win_rate', 'total_trades', 'avg_holding_days']) AS metric,
-           unnest([i1.ic, i3.ic, i7.ic, m, s, r, accuracy, precision_buy, recall_buy, f1_buy, CASE WHEN k >= 5 THEN sharpe END, CASE WHEN k >= 5 THEN mdd END, CASE WHEN k >= 5 THEN wr END, CASE WHEN k >= 5 THEN CAST(k * 5 AS DOUBLE) ELSE 0 END, CAST(3 AS DOUBLE)]) AS value
+    pf AS (SELECT count(*) AS k, round(avg(pnl) / stddev_pop(pnl) * sqrt(252), 4) AS sharpe, round(min(down), 4) AS mdd, round(avg(CAST(pnl > 0 AS INT)), 4) AS wr, round(exp(arg_max(lg, date)) - 1, 4) AS tr, round(arg_max(lg, date), 4) AS lr FROM dd)
+    SELECT unnest(['ic_1d', 'ic_3d', 'ic_7d', 'ic_3d_mean', 'ic_3d_std', 'icir', 'accuracy', 'precision_buy', 'recall_buy', 'f1_buy', 'sharpe', 'max_drawdown', 'total_return', 'log_return', 'win_rate', 'total_trades', 'avg_holding_days']) AS metric,
+           unnest([i1.ic, i3.ic, i7.ic, m, s, r, accuracy, precision_buy, recall_buy, f1_buy, CASE WHEN k >= 5 THEN sharpe END, CASE WHEN k >= 5 THEN mdd END, CASE WHEN k >= 5 THEN tr END, CASE WHEN k >= 5 THEN lr END, CASE WHEN k >= 5 THEN wr END, CASE WHEN k >= 5 THEN CAST(k * 5 AS DOUBLE) ELSE 0 END, CAST(3 AS DOUBLE)]) AS value
     FROM i1, i3, i7, rs, clf, pf""")
 def _(v):
-    return Ev.full_eval(v.signals, "signal_score", "label_3d", "pred", n=5).filter("metric <> 'total_return'")
+    return Ev.full_eval(v.signals, "signal_score", "label_3d", "pred", n=5)
+
+
+@query("pearson_ic", """
+    SELECT entity, count(*) AS n, CASE WHEN count(*) >= 11 THEN round(corr(signal_score, forward_ret_3d), 4) + 0.0 END AS pearson_ic
+    FROM v_signals WHERE signal_score IS NOT NULL AND forward_ret_3d IS NOT NULL GROUP BY entity""")
+def _(v):
+    return Ev.pearson_ic(v.signals, "signal_score", "forward_ret_3d", ["entity"])
 
 
 # ---- signals -------------------------------------------------------------------------------------
@@ -303,3 +311,15 @@ def _(v):
     features = ["discount", "volume", "market_cap", "signal_score"]
     model = S.fit_direction_model(rows, features, "label_3d", kind="logistic")
     return S.predict_direction(model, rows, features, ["entity", "date"])
+
+
+@query("walkforward_model")
+def _(v):
+    """A fold every 18 months: fit on all earlier train rows, score the fold's test rows, report accuracy and linear IC."""
+    rows = materialize(v.daily_bars.join(v.signals.select("entity", "date", "signal_score", "label_3d", "forward_ret_3d"), ["entity", "date"]))
+    span = rows.agg(F.min("date").alias("start"), F.max("date").alias("end"))
+    anchors = span.select(F.explode(F.sequence(F.add_months("start", 12), "end", F.expr("INTERVAL 18 MONTHS"))).alias("anchor"))
+    folds = matrix.walkforward_folds(anchors, "1990-01-01")
+    features = ["discount", "volume", "market_cap", "signal_score"]
+    scored = S.walkforward_scores(rows, folds, features, "label_3d", ["entity", "date"], kind="logistic")
+    return S.fold_report(scored, rows, "label_3d", "forward_ret_3d", ["entity", "date"])
