@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -156,3 +157,46 @@ def test_model_fit_and_score(spark):
         out = S.predict_direction(S.fit_direction_model(df, ["f1", "f2"], "y", kind), df, ["f1", "f2"], ["id", "y"])
         hit = out.withColumn("d", F.expr("case when p_buy > p_hold and p_buy > p_sell then 1 when p_sell > p_hold then -1 else 0 end")).filter("d = y").count()
         assert hit > 240
+
+
+def test_equity_survives_long_series_and_total_loss(spark):
+    days = spark.range(5000).select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+                                    F.when(F.col("id") == 4000, -0.5).otherwise(1.5).alias("pnl"))
+    rows = E.equity_curve(days).orderBy("date").collect()
+    assert rows[4000]["drawdown"] == pytest.approx(-0.5) and rows[4001]["drawdown"] == 0.0
+    assert rows[-1]["log_equity"] == pytest.approx(4999 * math.log(2.5) + math.log(0.5))
+    lost = spark.createDataFrame([(1, 0.5), (2, -1.0), (3, 2.0)], "date int, pnl double")
+    assert [(r["equity"], r["drawdown"]) for r in E.equity_curve(lost).orderBy("date").collect()] == [(pytest.approx(1.5), 0.0), (0.0, -1.0), (0.0, -1.0)]
+
+
+def test_pearson_ic(spark):
+    rows = [("a", float(i), 2.0 * i + (i % 3)) for i in range(12)] + [("b", 1.0, float(i)) for i in range(12)] + [("c", float(i), 1.0 * i) for i in range(5)]
+    df = spark.createDataFrame(rows + [("a", None, 1.0), ("a", 1.0, None)], "g string, s double, r double")
+    got = {r["g"]: (r["n"], r["pearson_ic"]) for r in E.pearson_ic(df, "s", "r", ["g"]).collect()}
+    want = np.corrcoef([r[1] for r in rows[:12]], [r[2] for r in rows[:12]])[0, 1]
+    assert got == {"a": (12, pytest.approx(want, abs=1e-4)), "b": (12, None), "c": (5, None)}
+
+
+def test_feature_table_ties_follow_the_order(spark):
+    anchor = spark.createDataFrame([("x", dt.date(2024, 1, 1))], "entity string, date date")
+    side = spark.createDataFrame([("x", dt.datetime(2024, 1, 1, 5), 1.0, 9), ("x", dt.datetime(2024, 1, 1, 5), 7.0, 3)],
+                                 "entity string, ts timestamp, v double, version int")
+    T = matrix.FeatureTable
+    assert matrix.feature_matrix(anchor, [T(side, ["v"], order=("version",))]).collect()[0]["v"] == 1.0
+    assert matrix.feature_matrix(anchor, [T(side, ["v"])]).collect()[0]["v"] == 7.0
+
+
+def test_walkforward_scores_only_test_rows(spark):
+    first = dt.date(2024, 1, 1)
+    rows = [("e%d" % (i % 3), first + dt.timedelta(days=i // 3), float(i % 7), (i % 3) - 1, 0.1 * (i % 5)) for i in range(900)]
+    df = spark.createDataFrame(rows, "entity string, date date, f1 double, y int, ret double")
+    anchors = spark.createDataFrame([(dt.date(2024, 1, 20),), (dt.date(2024, 8, 1),)], "anchor date")
+    folds = matrix.walkforward_folds(anchors, "2020-01-01")
+    scored = S.walkforward_scores(df, folds, ["f1"], "y", ["entity", "date"], "logistic")
+    got = scored.collect()
+    # the first anchor has no train rows yet; the second scores the 14 days that end 14 days before it
+    assert {r["anchor"] for r in got} == {dt.date(2024, 8, 1)} and len(got) == 14 * 3
+    assert {r["date"] for r in got} == {dt.date(2024, 7, 5) + dt.timedelta(days=i) for i in range(14)}
+    assert all(r["p_sell"] + r["p_hold"] + r["p_buy"] == pytest.approx(1) for r in got)
+    report = S.fold_report(scored, df, "y", "ret", ["entity", "date"]).collect()
+    assert len(report) == 1 and report[0]["scored"] == 42 and 0 <= report[0]["accuracy"] <= 1

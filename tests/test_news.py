@@ -8,7 +8,7 @@ import statistics
 import pytest
 
 from newsmill.functions import rules
-from newsmill.plans import news
+from newsmill.plans import news, reports
 
 BASE = dt.datetime(2024, 3, 1)
 TYPES = ["REGULATION", "HACK_EXPLOIT", "ADOPTION_PARTNERSHIP", "ETF_INSTITUTIONAL", "LIQUIDATION", "MACRO", "WHALE_MOVEMENT", "OTHER", None]
@@ -119,3 +119,19 @@ def test_news_signals_range_equals_full_run(spark):
     full = {(r["entity"], r["date"]): r for r in news.news_signals(frame(spark, rows), arts).collect() if lo.date() <= r["date"] <= hi.date()}
     part = {(r["entity"], r["date"]): r for r in news.news_signals(frame(spark, rows), arts, str(lo.date()), str(hi.date())).collect()}
     assert full and full == part
+
+
+def test_search_takes_marks_literally(spark):
+    df = spark.createDataFrame([(1, "50% up", "x"), (2, "500 up", "a_b"), (3, "none", "AXB")], "id int, title string, body string")
+    assert [r["id"] for r in reports.search(df, "50%").collect()] == [1]
+    assert [(r["id"], r["found_in"]) for r in reports.search(df, "A_B").collect()] == [(2, "body")]
+    assert reports.search(df, "\\").count() == 0
+
+
+def test_ingest_rate_keeps_empty_periods(spark):
+    df = spark.createDataFrame([("u", "2024-01-01 01:10:00", "2024-01-01 02:00:00"), ("u", "2024-01-01 01:50:00", "2024-01-01 02:00:00"), ("w", "2024-01-01 03:00:00", "2024-01-01 04:00:00")],
+                               "url string, published_on string, fetched_at string")
+    df = df.selectExpr("url", "to_timestamp(published_on) AS published_on", "to_timestamp(fetched_at) AS fetched_at")
+    got = {r["period"]: (r["hours"], r["total"], r["avg_per_hour"], r["max_per_hour"]) for r in reports.ingest_rate(df, "2024-02-01", "2024-01-15").collect()}
+    assert got == {"last_24h": (0, 0, 0.0, 0), "live": (0, 0, 0.0, 0), "baseline": (2, 2, 1.0, 1)}
+    assert reports.ingest_rate(df.limit(0), "2024-02-01", "2024-01-15").count() == 3
