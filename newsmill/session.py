@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # zone-less parquet timestamps read as UTC instants: no cast between a time filter and the scan
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",
+    # whole texts go to Python in batches: fewer rows keep a batch to some MB on both sides
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
