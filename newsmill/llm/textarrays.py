@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # numpy holds some hundred bytes a text byte while a chunk is worked on
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE_VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | _U(1)
