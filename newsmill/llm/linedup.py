@@ -1,11 +1,11 @@
-"""Line deduplication by winnowing, with DataFrame functions only.
+"""Line deduplication by windows of lines, with DataFrame functions only.
 
-A text is its sequence of lines that hold a word.  Every smallest stretch of lines with at least ``min_words`` words is a
-window; its line with the smallest hash is its fingerprint.  Two texts that share a run of at least ``min_words`` words
-share a whole window inside it and therefore select the same fingerprint there, so no such run is missed.  Fingerprint
-positions are joined with the earliest position that has the same window around it, the match is extended to both sides
-as long as the lines agree, and the lines of every run of at least ``min_words`` words that started earlier in the corpus
-are deleted."""
+A text is its sequence of lines that hold a word.  A window is a stretch of lines with at least ``min_words`` words that is
+the smallest such stretch ending at its last line, or the smallest one starting at its first line.  Shrink a run of at
+least ``min_words`` words around one of its lines as far as the words allow, and a window is left; so every run is the union
+of the windows inside it, its first and last lines included.  Whether a stretch is a window follows from its lines alone,
+so equal stretches are windows alike: a window repeats an earlier stretch just when the earliest window of the same content
+lies elsewhere.  The lines of all such windows are deleted; no match has to be extended."""
 
 from __future__ import annotations
 
@@ -26,51 +26,53 @@ def text_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return rows.withColumn("pos", F.count("*").over(w)).withColumn("upto", F.sum("words").over(w))
 
 
-def line_windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, first, last, content, mark): every smallest stretch of lines ending at ``last`` with at least ``min_words``
-    words, a hash of its lines in order and the position of its fingerprint, the line with the smallest hash (the last
-    such line where hashes tie)."""
+def line_windows(lines: DataFrame, min_words: int, whole_runs: bool = True) -> DataFrame:
+    """(doc_id, first, last, content): every window once, with a hash of its lines in order; without ``whole_runs`` only
+    those that are the smallest ending at their last line."""
+    lines = lines.withColumn("start", F.col("upto") - F.col("words"))
+    ends = W.partitionBy("doc_id").orderBy("upto")
     # lines whose end is less than min_words words back: one line fewer would be too short
-    frame = W.partitionBy("doc_id").orderBy("upto").rangeBetween(-(min_words - 1), 0)
-    out = lines.select("doc_id", F.col("pos").alias("last"), "upto", F.min("pos").over(frame).alias("first"),
-                        F.xxhash64(F.collect_list("hash").over(frame)).alias("content"),
-                        F.min(F.struct(F.col("hash"), (-F.col("pos")).alias("back"))).over(frame).alias("least"))
-    return out.where(f"upto >= {min_words}").select("doc_id", "first", "last", "content", (-F.col("least.back")).alias("mark"))
+    back = ends.rangeBetween(-(min_words - 1), 0)
+    ahead = W.partitionBy("doc_id").orderBy("start").rangeBetween(0, min_words - 1)
+    out = lines.select("doc_id", "pos", "start", "upto",
+                       F.struct(F.min("pos").over(back).alias("first"), F.col("pos").alias("last"),
+                                F.xxhash64(F.collect_list("hash").over(back)).alias("content")).alias("ending"),
+                       F.struct(F.col("pos").alias("first"), F.max("pos").over(ahead).alias("last"),
+                                F.xxhash64(F.collect_list("hash").over(ahead)).alias("content")).alias("starting"),
+                       F.max("upto").over(ahead).alias("reach"))
+    ending = F.when(F.col("upto") >= min_words, F.col("ending"))
+    # without its first line still long enough: the smallest from its start on, but no smallest to its end
+    starting = F.when(F.col("reach") - F.col("upto") >= min_words, F.col("starting"))
+    kinds = [ending, starting] if whole_runs else [ending]
+    return out.select("doc_id", F.explode(F.array(*kinds)).alias("w")).where("w IS NOT NULL").select("doc_id", "w.*")
 
 
-def repeated_runs(lines: DataFrame, min_words: int = 50) -> DataFrame:
-    """(doc_id, from_doc, shift, first, last): runs of lines ``first .. last`` that repeat lines ``first + shift ..`` of an
-    earlier place, by (doc_id, position).  ``lines`` comes from :func:`text_lines`."""
-    windows = materialize(line_windows(lines, min_words))
-    earliest = windows.groupBy("content").agg(F.min(F.struct("doc_id", "last")).alias("at"), F.count("*").alias("n")).where("n > 1")
-    match = windows.join(earliest.drop("n"), "content").where(~F.struct("doc_id", "last").eqNullSafe(F.col("at")))
-    # one match per fingerprint and partner: its windows may reach from the first to the last of them
-    marks = match.groupBy("doc_id", "mark", F.col("at.doc_id").alias("from_doc"), (F.col("at.last") - F.col("last")).alias("shift")).agg(
-        F.min("first").alias("low"), F.max("last").alias("high"))
-    ours = lines.select("doc_id", "pos", "hash")
-    theirs = lines.select(F.col("doc_id").alias("from_doc"), F.col("pos").alias("there"), F.col("hash").alias("their_hash"))
-    reach = marks.withColumn("pos", F.explode(F.sequence("low", "high"))).withColumn("there", F.col("pos") + F.col("shift"))
-    # extension: from the fingerprint to the nearest line on either side that differs
-    reach = reach.join(ours, ["doc_id", "pos"]).join(theirs, ["from_doc", "there"], "left")
-    reach = reach.withColumn("same", F.coalesce(F.col("hash") == F.col("their_hash"), F.lit(False)))
-    ends = reach.groupBy("doc_id", "mark", "from_doc", "shift", "low", "high").agg(
-        F.max(F.when(~F.col("same") & (F.col("pos") < F.col("mark")), F.col("pos"))).alias("before"),
-        F.min(F.when(~F.col("same") & (F.col("pos") > F.col("mark")), F.col("pos"))).alias("after"))
-    return ends.select("doc_id", "from_doc", "shift", F.coalesce(F.col("before") + 1, F.col("low")).alias("first"),
-                       F.coalesce(F.col("after") - 1, F.col("high")).alias("last"))
+def repeated_runs(lines: DataFrame, min_words: int = 50, whole_runs: bool = True) -> DataFrame:
+    """(doc_id, first, last): stretches of lines whose windows repeat an earlier place, by (doc_id, position).  ``lines``
+    comes from :func:`text_lines`."""
+    windows = materialize(line_windows(lines, min_words, whole_runs))
+    earliest = windows.groupBy("content").agg(F.min(F.struct("doc_id", "first")).alias("at"), F.count("*").alias("n")).where("n > 1")
+    later = windows.join(earliest.drop("n"), "content").where(~F.struct("doc_id", "first").eqNullSafe(F.col("at")))
+    # windows that overlap or touch are one stretch
+    before = W.partitionBy("doc_id").orderBy("first", "last").rowsBetween(W.unboundedPreceding, -1)
+    opens = F.coalesce(F.col("first") > F.max("last").over(before) + 1, F.lit(True)).cast("int")
+    sofar = W.partitionBy("doc_id").orderBy("first", "last").rowsBetween(W.unboundedPreceding, 0)
+    marked = later.select("doc_id", "first", "last", opens.alias("opens")).withColumn("stretch", F.sum("opens").over(sofar))
+    return marked.groupBy("doc_id", "stretch").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("stretch")
 
 
-def delete_repeated_lines(docs: DataFrame, min_words: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
+def delete_repeated_lines(docs: DataFrame, min_words: int = 50, key: str = "doc_id", text: str = "text", whole_runs: bool = False) -> DataFrame:
     """``docs`` with the lines of later repeated runs deleted, and ``removed_lines`` (long).
 
     A run is a stretch of consecutive lines (lines without words are passed over and never deleted) with at least
     ``min_words`` words that equals a stretch starting earlier: in a document with a smaller key, or before it in the
-    same document.  ``key`` identifies documents: repeated rows are one document and come back alike, and rows with a
+    same document.  With ``whole_runs``, as in the registered queries, every line of such a run goes; without, only those in
+    a smallest stretch of ``min_words`` words to some line of it, which leaves short lines before a long one.  ``key`` identifies documents: repeated rows are one document and come back alike, and rows with a
     null key are neither compared nor changed.  Null and empty texts come back as they are, with 0; so do texts under
     ``min_words`` words.  Extra columns are kept; ``removed_lines`` and names starting with ``_`` must be free; an empty
     table gives an empty result."""
     lines = materialize(text_lines(docs, key, text))
-    runs = repeated_runs(lines, min_words)
+    runs = repeated_runs(lines, min_words, whole_runs)
     places = runs.select("doc_id", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
     gone = (places.join(lines.select("doc_id", "pos", "line_no"), ["doc_id", "pos"]).groupBy(F.col("doc_id").alias("_gone_key"))
             .agg(F.collect_set("line_no").alias("_gone")))

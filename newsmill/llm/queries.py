@@ -37,7 +37,7 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the lines of later repeated runs deleted."""
-    return linedup.delete_repeated_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines")
+    return linedup.delete_repeated_lines(_table(spark, sf_dir, "documents"), whole_runs=True).select("doc_id", "text", "removed_lines")
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
