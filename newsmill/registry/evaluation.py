@@ -313,13 +313,17 @@ def _(v):
     return S.predict_direction(model, rows, features, ["entity", "date"])
 
 
+def _weekly_folds(span):
+    """Weekly folds, as far past the end as test days lie before their anchor, so that the last days are scored too."""
+    return matrix.walkforward_folds(matrix.weekly_anchors(span.select("start", F.date_add("end", 27).alias("end"))), "1990-01-01")
+
+
 @query("walkforward_model")
 def _(v):
-    """A fold every 18 months: fit on all earlier train rows, score the fold's test rows, report accuracy and linear IC."""
+    """A fold every week: fit on all earlier train rows, score the fold's test rows, report accuracy and linear IC."""
     rows = materialize(v.daily_bars.join(v.signals.select("entity", "date", "signal_score", "label_3d", "forward_ret_3d"), ["entity", "date"]))
     span = rows.agg(F.min("date").alias("start"), F.max("date").alias("end"))
-    anchors = span.select(F.explode(F.sequence(F.add_months("start", 12), "end", F.expr("INTERVAL 18 MONTHS"))).alias("anchor"))
-    folds = matrix.walkforward_folds(anchors, "1990-01-01")
+    folds = _weekly_folds(span)
     features = ["discount", "volume", "market_cap", "signal_score"]
     scored = S.walkforward_scores(rows, folds, features, "label_3d", ["entity", "date"], kind="logistic")
     return S.fold_report(scored, rows, "label_3d", "forward_ret_3d", ["entity", "date"])

@@ -200,3 +200,16 @@ def test_walkforward_scores_only_test_rows(spark):
     assert all(r["p_sell"] + r["p_hold"] + r["p_buy"] == pytest.approx(1) for r in got)
     report = S.fold_report(scored, df, "y", "ret", ["entity", "date"]).collect()
     assert len(report) == 1 and report[0]["scored"] == 42 and 0 <= report[0]["accuracy"] <= 1
+
+
+def test_weekly_walkforward_scores_every_day_after_the_first_train_row(spark, monkeypatch):
+    from newsmill.registry import evaluation
+    monkeypatch.setattr(S, "FOLDS_PER_STAGE", 3)
+    first, last = dt.date(2024, 1, 1), dt.date(2024, 2, 25)
+    rows = [("e%d" % e, first + dt.timedelta(days=i), float((i + e) % 7), (i + e) % 3 - 1) for i in range(56) for e in range(3)]
+    df = spark.createDataFrame(rows, "entity string, date date, f1 double, y int")
+    folds = evaluation._weekly_folds(spark.createDataFrame([(first, last)], "start date, end date"))
+    got = S.walkforward_scores(df, folds, ["f1"], "y", ["entity", "date"], "logistic").select("anchor", "entity", "date").collect()
+    tested = {r["date"] for r in got}
+    assert max(tested) == last and tested == {min(tested) + dt.timedelta(days=i) for i in range(len(tested))}
+    assert min(tested) <= first + dt.timedelta(days=22 + 6) and len(set(got)) == len(got)
