@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from newsmill.llm import chat, grading, linedup, mixing, ngramjoin, packing, perplexity, substrings, vectorjoin, warc
-from newsmill.session import apply_runtime_conf
+from newsmill.llm import (chat, grading, licenses, linedup, mixing, ngramjoin, packing, perplexity, repair, substrings, vectorcodes, vectorjoin,
+                          warc)
+from newsmill.session import apply_runtime_conf, materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,10 +77,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", F.round("target", 4).alias("target"), "taken")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest audit and digest of the repaired rows of every conversation after known damage."""
+    rows = repair.damage(_table(spark, sf_dir, "conversations"))
+    return repair.audit_digests(repair.repair_conversations(rows, present="present"))
+
+
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases, licence labels and score of every document."""
+    out = licenses.license_labels(licenses.scan_licenses(_table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and error of every clean vector, with the digest of the codebooks fitted on all of them."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    books = vectorcodes.fit_codebooks(vectors)
+    coded = materialize(vectorcodes.encode(vectors, books, keep=("label",)))
+    return vectorcodes.label_errors(coded).select("vec_id", "code", "error", "label_error", F.lit(vectorcodes.codebook_digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules, "op2_warc_bundles": op2_warc_bundles, "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_line_dedup": op4_line_dedup, "op5_ngram_jaccard": op5_ngram_jaccard, "op6_substring_dedup": op6_substring_dedup,
     "op7_packing": op7_packing, "op8_chat_formatting": op8_chat_formatting, "op9_quality_classifier": op9_quality_classifier,
-    "op10_mixing": op10_mixing, "pipeline": corpus_pipeline.run}
+    "op10_mixing": op10_mixing, "op11_conversation_repair": op11_conversation_repair, "op12_license_scans": op12_license_scans,
+    "op13_vector_codes": op13_vector_codes, "pipeline": corpus_pipeline.run}
 
-ORACLES: dict[str, str] = {"op2_warc_bundles": warc.WARC_SQL, "op8_chat_formatting": chat.CHAT_SQL, "op10_mixing": mixing.MIX_SQL}
+ORACLES: dict[str, str] = {"op2_warc_bundles": warc.WARC_SQL, "op8_chat_formatting": chat.CHAT_SQL, "op10_mixing": mixing.MIX_SQL,
+                           "op11_conversation_repair": repair.REPAIR_SQL, "op13_vector_codes": vectorcodes.CODES_SQL}
