@@ -47,7 +47,7 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that an earlier document or place has, and the spans cut out of it."""
+    """Every document without the runs of sentences that earlier documents or places have, and the spans cut out of it."""
     out = substrings.remove_repeated_units(_table(spark, sf_dir, "documents"))
     span = F.transform("removed", lambda s: F.concat_ws(":", *[s[c].cast("string") for c in ("start", "end", "kept_doc_id", "kept_start")]))
     return out.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.array_join(span, " ").alias("removed_spans"))

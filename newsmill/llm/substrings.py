@@ -1,8 +1,8 @@
-"""Substring deduplication by line or paragraph hashing.
+"""Substring deduplication by line, sentence or paragraph hashing.
 
-Texts are cut into units (lines, or paragraphs at blank lines).  Units are normalised and digested, the digests are
-grouped over the whole corpus, the earliest occurrence stays and the others are cut out; the offsets of what was cut,
-in the original text, are kept."""
+Texts are cut into units.  Units are normalised and digested, the digests are grouped over the whole corpus, and the earliest ranked
+occurrence of each stays.  A later one is cut out where it stands in a run of consecutive repeated units that has enough words
+together, so that short lines which many texts happen to share stay.  The offsets of what was cut, in the original text, are kept."""
 
 from __future__ import annotations
 
@@ -13,7 +13,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-_SEPARATOR = {"line": re.compile("\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
+from newsmill.session import materialize
+
+# a sentence ends at a line break, or at white space behind a sentence mark
+_SEPARATOR = {"line": re.compile("\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*"), "sentence": re.compile(r"\n|(?<=[.!?])[^\S\n]+")}
+MIN_WORDS = 25  # of a run: half of the shortest passage (50 words) that must not stay twice
 
 
 def normalise(unit: str) -> str:
@@ -30,68 +34,108 @@ def unit_spans(text: str, unit: str) -> list[tuple[int, int]]:
     return [*out, (at, len(text))]
 
 
-def corpus_units(docs: DataFrame, unit: str = "line", min_words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, start, end, digest): units of at least ``min_words`` words, with a 128-bit digest of the normal form."""
-    kind = docs.schema[key].dataType.simpleString()
+def numbered(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` written once with ``_row``, a number of every row, and ``_tie``, a hash of its text."""
+    return materialize(docs.withColumns({"_row": F.monotonically_increasing_id(), "_tie": F.xxhash64(text)}))
+
 
+def corpus_units(rows: DataFrame, unit: str = "sentence", key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(row, key, tie, no, start, end, upto, opens, closes, words, digest): the units that have a word, numbered within their text, with a
+    128-bit digest of the normal form.  ``upto`` is where the separator behind the unit ends; ``opens`` and ``closes`` tell whether the unit
+    begins a line and is followed by a line break.  ``rows`` comes from :func:`numbered`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, starts, ends, digests = [], [], [], []
-            for row, whole in enumerate(b.column(1)):
+            at, out = [], [[] for _ in range(8)]
+            for i, whole in enumerate(b.column(3)):
                 whole = whole.as_py() or ""
-                for s, e in unit_spans(whole, unit):
+                spans = unit_spans(whole, unit)
+                ends = [s for s, _ in spans[1:]] + [len(whole)]
+                no = 0
+                for (s, e), upto in zip(spans, ends):
                     words = whole[s:e].lower().split()
-                    if len(words) >= min_words:
-                        ids.append(row)
-                        starts.append(s)
-                        ends.append(e)
-                        digests.append(hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(ids, pa.int64())), pa.array(starts, pa.int64()),
-                                              pa.array(ends, pa.int64()), pa.array(digests, pa.binary())],
-                                             ["doc_id", "start", "end", "digest"])
+                    if words:
+                        digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                        at.append(i)
+                        for column, v in zip(out, (no, s, e, upto, whole[s - 1:s] in ("", "\n"), whole[e:e + 1] == "\n", len(words), digest)):
+                            column.append(v)
+                        no += 1
+            kinds = [*[pa.int32()] * 4, pa.bool_(), pa.bool_(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(at, pa.int64())) for c in range(3)), *(pa.array(c, t) for c, t in zip(out, kinds))],
+                                             ["row", "key", "tie", "no", "start", "end", "upto", "opens", "closes", "words", "digest"])
 
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, start long, end long, digest binary")
+    kind = rows.schema[key].dataType.simpleString()
+    return rows.select(F.col("_row").alias("row"), F.col(key).alias("key"), F.col("_tie").alias("tie"), F.col(text).alias("text")).mapInArrow(
+        run, f"row long, key {kind}, tie long, no int, start int, end int, upto int, opens boolean, closes boolean, words int, digest binary")
 
 
 def repeated_units(units: DataFrame) -> DataFrame:
-    """(doc_id, start, end, kept_doc_id, kept_start): every occurrence of a unit but the earliest by (doc_id, start).
+    """(row, units): per text its later occurrences of units, in order, with key and start of the earliest one.
+
+    Occurrences are ranked by key (null last), text and row, then place.  Minimum and count are partial aggregates; only digests that occur more
+    than once are written and joined, as a plain table, so that Spark splits the units of a frequent digest like any skewed join side."""
+    rank = F.struct(F.col("key").isNull().alias("no_key"), "key", "tie", "row", "no", "start")
+    first = materialize(units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"))
+    places = units.select("row", "no", "start", "end", "upto", "opens", "closes", "words", "digest").join(first, "digest")
+    later = places.where((F.col("row") != F.col("first.row")) | (F.col("no") != F.col("first.no")))
+    unit = F.struct("no", "start", "end", "upto", "opens", "closes", "words", F.col("first.key").alias("kept_key"), F.col("first.start").alias("kept_start"))
+    return later.groupBy("row").agg(F.sort_array(F.collect_list(unit)).alias("units"))
 
-    Minimum and count are partial aggregates; only digests that occur more than once go into the join, whose hot
-    digests are split as skewed partitions."""
-    first = units.groupBy("digest").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    return (units.join(first.drop("n"), "digest").where(~F.struct("doc_id", "start").eqNullSafe(F.col("first")))
-            .select("doc_id", "start", "end", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start")))
 
+def removed_spans(repeated: DataFrame, min_words: int) -> DataFrame:
+    """(row, removed): the units of runs of consecutive units with ``min_words`` words together, from the output of :func:`repeated_units`.
 
-def remove_repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    Behind a removed unit the text goes on at ``cut``: at the next unit of its run; for the last one behind its separator, or before it where that
+    is the break of a line whose beginning stays."""
+    key = repeated.selectExpr("units[0].kept_key AS k").schema["k"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans = []
+            for units in b.column(1).to_pylist():
+                own, lo = [], 0
+                for hi in range(1, len(units) + 1):
+                    if hi < len(units) and units[hi]["no"] == units[hi - 1]["no"] + 1:
+                        continue
+                    stretch = units[lo:hi]
+                    lo = hi
+                    if sum(u["words"] for u in stretch) < min_words:
+                        continue
+                    last = stretch[-1]
+                    behind = last["end"] if last["closes"] and not stretch[0]["opens"] else last["upto"]
+                    for u, cut in zip(stretch, [*(v["start"] for v in stretch[1:]), behind]):
+                        own.append({"start": u["start"], "end": u["end"], "kept_doc_id": u["kept_key"], "kept_start": u["kept_start"], "cut": cut})
+                spans.append(own)
+            kind = b.schema.field(1).type.value_type.field("kept_key").type
+            types = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kept_doc_id", kind), ("kept_start", pa.int64()), ("cut", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, types)], ["row", "removed"])
+
+    return repeated.mapInArrow(run, f"row long, removed array<struct<start:long,end:long,kept_doc_id:{key},kept_start:long,cut:long>>")
+
+
+def remove_repeated_units(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Each document with its later repeats cut out.
 
-    Returns the columns of ``docs`` with the new text, and removed (array of structs start, end, kept_doc_id, kept_start in
-    offsets of the original text, ordered).  A removed unit takes the line break behind it along, the last
-    unit the one before it.
+    Returns the columns of ``docs`` with the new text, and removed (array of structs start, end, kept_doc_id, kept_start, cut in
+    offsets of the original text, ordered; from start to cut the text is gone).  Where the last unit of a text goes, the line break before it goes too.
 
-    Units under ``min_words`` words are never removed.  ``key`` identifies documents: occurrences are ranked by (key,
-    offset), null keys first; rows that share a key are one document, so repeats between them stay.  Null and empty
-    texts have no units and come back as they are; an empty table gives an empty result.  Column names ``removed`` and
-    ``_removed_key`` must be free."""
-    spans = repeated_units(corpus_units(docs, unit, min_words, key, text))
-    per_doc = spans.distinct().groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kept_doc_id", "kept_start"))).alias("removed"))
-    per_doc = per_doc.withColumnRenamed("doc_id", "_removed_key")
-    joined = docs.join(per_doc, F.col(key).eqNullSafe(F.col("_removed_key")), "left").drop("_removed_key")
-    none = F.array().cast(joined.schema["removed"].dataType)
-    joined = joined.withColumn("removed", F.coalesce("removed", none))
-    return joined.withColumn(text, F.when(F.size("removed") == 0, F.col(text)).otherwise(_cut(F.col(text), F.col("removed"))))
+    ``unit`` is line, sentence (lines cut at sentence marks) or paragraph.  Every unit with a word is compared, however short; it is removed
+    if it is no earliest occurrence and stands in a run of such units, no other unit between them, of ``min_words`` words or more.  Occurrences
+    are ranked by (``key``, text, offset), null keys last; every row is a text of its own, so repeated rows, rows
+    without a key and different texts of one key repeat each other.  Null and empty texts have no units and come back as they are; an empty table
+    gives an empty result.  A column ``removed`` is replaced; names ``_row`` and ``_tie`` must be free."""
+    rows = numbered(docs.drop("removed"), key, text)
+    spans = removed_spans(repeated_units(corpus_units(rows, unit, key, text)), min_words).where(F.size("removed") > 0)
+    joined = rows.join(spans.withColumnRenamed("row", "_row"), "_row", "left")
+    joined = joined.withColumn("removed", F.coalesce("removed", F.array().cast(joined.schema["removed"].dataType)))
+    return (joined.withColumn(text, F.when(F.size("removed") == 0, F.col(text)).otherwise(_cut(F.col(text), F.col("removed"))))
+            .select(*[c for c in docs.columns if c != "removed"], "removed"))
 
 
 def _cut(text, removed):
     """The text without the removed spans: pieces between them, in one pass over the span list."""
-    n = F.length(text)
-    # each span takes the line break behind it along
-    start = F.transform(removed, lambda s: s["start"])
-    end = F.transform(removed, lambda s: F.least(n.cast("long"), s["end"] + 1))
-    keep_from = F.concat(F.array(F.lit(0).cast("long")), end)
-    keep_to = F.concat(start, F.array(n.cast("long")))
+    n = F.length(text).cast("long")
+    keep_from = F.concat(F.array(F.lit(0).cast("long")), F.transform(removed, lambda s: s["cut"]))
+    keep_to = F.concat(F.transform(removed, lambda s: s["start"]), F.array(n))
     pieces = F.zip_with(keep_from, keep_to, lambda a, b: F.substring(text, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int")))
     joined = F.array_join(pieces, "")
-    return F.when(F.element_at(end, -1) == n, F.regexp_replace(joined, r"\n\z", "")).otherwise(joined)
+    return F.when(F.element_at(removed, -1)["cut"] == n, F.regexp_replace(joined, r"\n\z", "")).otherwise(joined)
