@@ -26,9 +26,8 @@ def text_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return rows.withColumn("pos", F.count("*").over(w)).withColumn("upto", F.sum("words").over(w))
 
 
-def line_windows(lines: DataFrame, min_words: int, whole_runs: bool = True) -> DataFrame:
-    """(doc_id, first, last, content): every window once, with a hash of its lines in order; without ``whole_runs`` only
-    those that are the smallest ending at their last line."""
+def line_windows(lines: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, first, last, content): every window once, with a hash of its lines in order."""
     lines = lines.withColumn("start", F.col("upto") - F.col("words"))
     ends = W.partitionBy("doc_id").orderBy("upto")
     # lines whose end is less than min_words words back: one line fewer would be too short
@@ -43,14 +42,13 @@ def line_windows(lines: DataFrame, min_words: int, whole_runs: bool = True) -> D
     ending = F.when(F.col("upto") >= min_words, F.col("ending"))
     # without its first line still long enough: the smallest from its start on, but no smallest to its end
     starting = F.when(F.col("reach") - F.col("upto") >= min_words, F.col("starting"))
-    kinds = [ending, starting] if whole_runs else [ending]
-    return out.select("doc_id", F.explode(F.array(*kinds)).alias("w")).where("w IS NOT NULL").select("doc_id", "w.*")
+    return out.select("doc_id", F.explode(F.array(ending, starting)).alias("w")).where("w IS NOT NULL").select("doc_id", "w.*")
 
 
-def repeated_runs(lines: DataFrame, min_words: int = 50, whole_runs: bool = True) -> DataFrame:
+def repeated_runs(lines: DataFrame, min_words: int = 50) -> DataFrame:
     """(doc_id, first, last): stretches of lines whose windows repeat an earlier place, by (doc_id, position).  ``lines``
     comes from :func:`text_lines`."""
-    windows = materialize(line_windows(lines, min_words, whole_runs))
+    windows = materialize(line_windows(lines, min_words))
     earliest = windows.groupBy("content").agg(F.min(F.struct("doc_id", "first")).alias("at"), F.count("*").alias("n")).where("n > 1")
     later = windows.join(earliest.drop("n"), "content").where(~F.struct("doc_id", "first").eqNullSafe(F.col("at")))
     # windows that overlap or touch are one stretch
@@ -61,18 +59,17 @@ def repeated_runs(lines: DataFrame, min_words: int = 50, whole_runs: bool = True
     return marked.groupBy("doc_id", "stretch").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("stretch")
 
 
-def delete_repeated_lines(docs: DataFrame, min_words: int = 50, key: str = "doc_id", text: str = "text", whole_runs: bool = False) -> DataFrame:
+def delete_repeated_lines(docs: DataFrame, min_words: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the lines of later repeated runs deleted, and ``removed_lines`` (long).
 
     A run is a stretch of consecutive lines (lines without words are passed over and never deleted) with at least
     ``min_words`` words that equals a stretch starting earlier: in a document with a smaller key, or before it in the
-    same document.  With ``whole_runs``, as in the registered queries, every line of such a run goes; without, only those in
-    a smallest stretch of ``min_words`` words to some line of it, which leaves short lines before a long one.  ``key`` identifies documents: repeated rows are one document and come back alike, and rows with a
+    same document.  Every line of such a run goes.  ``key`` identifies documents: repeated rows are one document and come back alike, and rows with a
     null key are neither compared nor changed.  Null and empty texts come back as they are, with 0; so do texts under
     ``min_words`` words.  Extra columns are kept; ``removed_lines`` and names starting with ``_`` must be free; an empty
     table gives an empty result."""
     lines = materialize(text_lines(docs, key, text))
-    runs = repeated_runs(lines, min_words, whole_runs)
+    runs = repeated_runs(lines, min_words)
     places = runs.select("doc_id", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
     gone = (places.join(lines.select("doc_id", "pos", "line_no"), ["doc_id", "pos"]).groupBy(F.col("doc_id").alias("_gone_key"))
             .agg(F.collect_set("line_no").alias("_gone")))
