@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
@@ -132,48 +131,3 @@ def predict_direction(model, matrix: DataFrame, features: list, keys: list) -> D
     p = vector_to_array("probability")
     return model.transform(rows).select(
         *keys, *[F.try_element_at(p, F.lit(i + 1)).alias(n) for i, n in enumerate(("p_sell", "p_hold", "p_buy"))])
-
-
-FOLDS_PER_STAGE = 20
-
-
-def walkforward_scores(rows: DataFrame, folds: DataFrame, features: list, label: str, keys: list, kind: str = "forest", seed: int = 42) -> DataFrame:
-    """Out-of-sample scores: per anchor a model fitted on the fold's train rows scores its test rows.
-
-    ``rows`` is a matrix, written once; every fold reads its train and test days from it, so an expanding train span is
-    never copied per anchor.  The driver loops over the anchors only, each fit and each scoring runs on Spark, and the
-    scores of FOLDS_PER_STAGE anchors are written together, so that plans stay short however many folds there are.
-    Anchors without labelled train rows give no rows.  Returns anchor, the keys and the class probabilities."""
-    wanted = list(dict.fromkeys([*keys, DAY, label, *features]))
-    held = materialize(rows.select(*wanted))
-    within = F.col(DAY).between(F.col("date_from"), F.col("date_to"))
-    labelled = held.filter(F.col(label).isNotNull()).select(DAY).distinct()
-    usable = folds.filter("role = 'train'").join(labelled, within, "left_semi").select("anchor")
-    spans = (folds.join(usable.distinct(), "anchor").filter("role in ('train', 'test')").groupBy("anchor")
-             .pivot("role", ["train", "test"]).agg(F.first(F.struct("date_from", "date_to"))))
-    empty = held.sparkSession.createDataFrame([], T.StructType([folds.schema["anchor"], *[held.schema[k] for k in keys],
-                                                                *[T.StructField(c, T.DoubleType()) for c in ("p_sell", "p_hold", "p_buy")]]))
-    done, open_ = empty, []
-
-    def written(parts: list) -> DataFrame:
-        return materialize(reduce(DataFrame.unionByName, parts))
-
-    for r in spans.orderBy("anchor").collect():
-        train, test = (held.filter(F.col(DAY).between(F.lit(r[x]["date_from"]), F.lit(r[x]["date_to"]))) for x in ("train", "test"))
-        model = fit_direction_model(train, features, label, kind, seed)
-        anchor = F.lit(r["anchor"]).cast(folds.schema["anchor"].dataType)
-        open_.append(predict_direction(model, test.withColumn("anchor", anchor), features, ["anchor", *keys]))
-        if len(open_) == FOLDS_PER_STAGE:
-            done, open_ = done.unionByName(written(open_)), []
-    return done.unionByName(written(open_)) if open_ else done
-
-
-def fold_report(scored: DataFrame, truth: DataFrame, label: str, ret: str, keys: list) -> DataFrame:
-    """Per anchor: scored rows, accuracy of the likeliest class over labelled rows, and the linear correlation of
-    p_buy - p_sell with the return."""
-    from newsmill.plans.evaluate import pearson_ic
-
-    best = F.when((F.col("p_buy") >= F.col("p_hold")) & (F.col("p_buy") >= F.col("p_sell")), 1).when(F.col("p_hold") >= F.col("p_sell"), 0).otherwise(-1)
-    rows = scored.join(truth.select(*keys, label, ret), keys, "left").withColumn("__lean", F.col("p_buy") - F.col("p_sell"))
-    counts = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("scored"), F.round(F.avg((best == F.col(label)).cast("double")), 4).alias("accuracy"))
-    return counts.join(pearson_ic(rows, "__lean", ret, ["anchor"]).drop("n"), "anchor", "left")

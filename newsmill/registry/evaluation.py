@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from newsmill.functions import market as M
 from newsmill.operators.keys import top_k
 from newsmill.operators.ordering import running_sums, value_ranks
-from newsmill.plans import evaluate as Ev, matrix, signals as S
+from newsmill.plans import evaluate as Ev, matrix, signals as S, walkforward
 from newsmill.registry import query
 from newsmill.registry.market import REGIME_SQL, _regime
-from newsmill.session import materialize
 
 AVG_RANK = "(rank() OVER ({p} ORDER BY {x}) + (count(*) OVER (PARTITION BY {g}{x}) - 1) / 2.0)"
 
@@ -318,12 +317,21 @@ def _weekly_folds(span):
     return matrix.walkforward_folds(matrix.weekly_anchors(span.select("start", F.date_add("end", 27).alias("end"))), "1990-01-01")
 
 
-@query("walkforward_model")
+WALK_FEATURES = ["discount", "volume", "market_cap", "signal_score"]
+WEEKLY_SQL = """
+    SELECT anchor, role, date_from, date_to FROM (SELECT anchor, unnest([
+        {'role': 'train', 'date_from': DATE '1990-01-01', 'date_to': anchor - 49}, {'role': 'val', 'date_from': anchor - 48, 'date_to': anchor - 28},
+        {'role': 'test', 'date_from': anchor - 27, 'date_to': anchor - 14}], recursive := true) FROM (
+        SELECT CAST(unnest(generate_series(CAST(s - CAST(dayofweek(s) AS INT) AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 7 DAY)) AS DATE) AS anchor
+        FROM (SELECT min(date) AS s, max(date) + 27 AS e FROM wf_raw)))"""
+
+
+@query("walkforward_model", walkforward.walkforward_sql(
+    "SELECT b.date, b.discount, b.volume, b.market_cap, s.signal_score, s.label_3d, s.forward_ret_3d FROM v_daily_bars b JOIN v_signals s ON s.entity = b.entity AND s.date = b.date",
+    WALK_FEATURES, "label_3d", "forward_ret_3d", WEEKLY_SQL))
 def _(v):
-    """A fold every week: fit on all earlier train rows, score the fold's test rows, report accuracy and linear IC."""
-    rows = materialize(v.daily_bars.join(v.signals.select("entity", "date", "signal_score", "label_3d", "forward_ret_3d"), ["entity", "date"]))
+    """A fold every week: fit on all earlier train rows, score the fold's validation and test rows, report accuracy and linear IC."""
+    rows = v.daily_bars.join(v.signals.select("entity", "date", "signal_score", "label_3d", "forward_ret_3d"), ["entity", "date"])
     span = rows.agg(F.min("date").alias("start"), F.max("date").alias("end"))
-    folds = _weekly_folds(span)
-    features = ["discount", "volume", "market_cap", "signal_score"]
-    scored = S.walkforward_scores(rows, folds, features, "label_3d", ["entity", "date"], kind="logistic")
-    return S.fold_report(scored, rows, "label_3d", "forward_ret_3d", ["entity", "date"])
+    scored = walkforward.walkforward_scores(rows, _weekly_folds(span), WALK_FEATURES, "label_3d", ["entity", "date", "label_3d", "forward_ret_3d"], ("val", "test"))
+    return walkforward.fold_report(scored, "label_3d", "forward_ret_3d")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsmill.operators import ordering as O
-from newsmill.plans import evaluate as E, matrix, signals as S
+from newsmill.plans import evaluate as E, matrix, signals as S, walkforward
 
 D0 = dt.date(2024, 1, 1)
 
@@ -186,30 +186,78 @@ def test_feature_table_ties_follow_the_order(spark):
     assert matrix.feature_matrix(anchor, [T(side, ["v"])]).collect()[0]["v"] == 7.0
 
 
-def test_walkforward_scores_only_test_rows(spark):
+def test_walkforward_scores_only_rows_of_the_role(spark):
     first = dt.date(2024, 1, 1)
-    rows = [("e%d" % (i % 3), first + dt.timedelta(days=i // 3), float(i % 7), (i % 3) - 1, 0.1 * (i % 5)) for i in range(900)]
+    rows = [("e%d" % (i % 3), first + dt.timedelta(days=i // 3), float(i % 7), (i % 4 + i % 3) % 3 - 1, 0.1 * (i % 5)) for i in range(900)]
     df = spark.createDataFrame(rows, "entity string, date date, f1 double, y int, ret double")
     anchors = spark.createDataFrame([(dt.date(2024, 1, 20),), (dt.date(2024, 8, 1),)], "anchor date")
     folds = matrix.walkforward_folds(anchors, "2020-01-01")
-    scored = S.walkforward_scores(df, folds, ["f1"], "y", ["entity", "date"], "logistic")
+    scored = walkforward.walkforward_scores(df, folds, ["f1"], "y", ["entity", "date", "y", "ret"])
     got = scored.collect()
     # the first anchor has no train rows yet; the second scores the 14 days that end 14 days before it
     assert {r["anchor"] for r in got} == {dt.date(2024, 8, 1)} and len(got) == 14 * 3
     assert {r["date"] for r in got} == {dt.date(2024, 7, 5) + dt.timedelta(days=i) for i in range(14)}
     assert all(r["p_sell"] + r["p_hold"] + r["p_buy"] == pytest.approx(1) for r in got)
-    report = S.fold_report(scored, df, "y", "ret", ["entity", "date"]).collect()
+    report = walkforward.fold_report(scored, "y", "ret").collect()
     assert len(report) == 1 and report[0]["scored"] == 42 and 0 <= report[0]["accuracy"] <= 1
+    both = walkforward.walkforward_scores(df, folds, ["f1"], "y", ["date"], ("val", "test"))
+    assert {(r["role"], r["n"]) for r in both.groupBy("role").agg(F.count("*").alias("n")).collect()} == {("val", 63), ("test", 42)}
 
 
-def test_weekly_walkforward_scores_every_day_after_the_first_train_row(spark, monkeypatch):
+def test_weekly_walkforward_scores_every_day_after_the_first_train_rows(spark):
     from newsmill.registry import evaluation
-    monkeypatch.setattr(S, "FOLDS_PER_STAGE", 3)
     first, last = dt.date(2024, 1, 1), dt.date(2024, 2, 25)
     rows = [("e%d" % e, first + dt.timedelta(days=i), float((i + e) % 7), (i + e) % 3 - 1) for i in range(56) for e in range(3)]
     df = spark.createDataFrame(rows, "entity string, date date, f1 double, y int")
     folds = evaluation._weekly_folds(spark.createDataFrame([(first, last)], "start date, end date"))
-    got = S.walkforward_scores(df, folds, ["f1"], "y", ["entity", "date"], "logistic").select("anchor", "entity", "date").collect()
+    got = walkforward.walkforward_scores(df, folds, ["f1"], "y", ["entity", "date"]).select("anchor", "entity", "date").collect()
     tested = {r["date"] for r in got}
     assert max(tested) == last and tested == {min(tested) + dt.timedelta(days=i) for i in range(len(tested))}
     assert min(tested) <= first + dt.timedelta(days=22 + 6) and len(set(got)) == len(got)
+
+
+@pytest.mark.parametrize("held", [1, 32 << 20])
+def test_fold_models_are_ridge_regressions_on_the_train_rows(spark, monkeypatch, held):
+    """Large levels, missing and constant features, unlabelled rows and train spans that begin anywhere, against least squares on the rows."""
+    monkeypatch.setattr(walkforward, "HELD_BYTES", held)
+    rng = np.random.default_rng(5)
+    first, n = dt.date(2024, 1, 1), 1500
+    day = rng.integers(0, 120, n)
+    x = np.stack([1e9 + 1e3 * rng.normal(size=n), rng.normal(size=n) * 1e-6, np.full(n, 7.0), rng.normal(size=n)], 1)
+    y = np.clip(np.rint(x[:, 3] + rng.normal(size=n)), -1, 1)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 2] = 7.0
+    labelled = rng.random(n) < 0.9
+    rows = [(first + dt.timedelta(days=int(d)), *[None if np.isnan(v) and i % 2 else float(v) for i, v in enumerate(r)], int(c) if ok else None)
+            for d, r, c, ok in zip(day, x, y, labelled)]
+    df = spark.createDataFrame(rows, "date date, a double, b double, c double, d double, y int").repartition(5)
+    spans = {1: (10, 60), 2: (0, 119), 3: (30, 200), 4: (-50, 40), 5: (70, 60), 6: (300, 400)}
+    folds = spark.createDataFrame([(k, "train", first + dt.timedelta(days=a), first + dt.timedelta(days=b)) for k, (a, b) in spans.items()],
+                                  "anchor long, role string, date_from date, date_to date")
+    got = {r["anchor"]: r for r in walkforward.fit_folds(df, folds, ["a", "b", "c", "d"], "y").collect()}
+    assert set(got) == {1, 2, 3, 4}
+    for k in got:
+        own = labelled & (day >= spans[k][0]) & (day <= spans[k][1])
+        train = x[own]
+        mean = np.nanmean(train, 0)
+        z = np.where(np.isnan(train), mean, train) - mean
+        sd = np.where(z.std(0) > 0, z.std(0), 1)
+        z /= sd
+        one_hot = y[own][:, None] == np.array([-1, 0, 1])
+        w = np.linalg.solve(z.T @ z / own.sum() + walkforward.RIDGE * np.eye(4), z.T @ one_hot / own.sum())
+        scores = one_hot.mean(0) + (np.where(np.isnan(x), mean, x) - mean) / sd @ w
+        fit = got[k]
+        assert fit["train_rows"] == own.sum() and fit["means"] == pytest.approx(mean, rel=1e-9)
+        ours = np.array(fit["weights"])
+        filled = np.where(np.isnan(x), np.array(fit["means"]), x)
+        assert ours[:, 0] + filled @ ours[:, 1:].T == pytest.approx(scores, abs=1e-5)
+
+
+def test_folds_without_all_classes_have_no_model(spark):
+    rows = [(dt.date(2024, 1, 1 + i % 20), float(i), 1 if i < 50 else 0) for i in range(60)] + [(None, 1.0, -1), (dt.date(2024, 1, 3), None, 5)]
+    df = spark.createDataFrame(rows, "date date, a double, y int")
+    folds = spark.createDataFrame([(1, "train", dt.date(2023, 1, 1), dt.date(2025, 1, 1))], "anchor int, role string, date_from date, date_to date")
+    assert walkforward.fit_folds(df, folds, ["a"], "y").count() == 0
+    fit = walkforward.fit_folds(df, folds, ["a"], "y", least_classes=1).collect()
+    assert len(fit) == 1 and fit[0]["train_rows"] == 60 and fit[0]["weights"][0] == pytest.approx([0.0, 0.0])
+    assert walkforward.fit_folds(df.where("false"), folds, ["a"], "y", least_classes=1).count() == 0
