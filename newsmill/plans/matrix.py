@@ -50,6 +50,47 @@ def feature_matrix(anchor: DataFrame, tables: list[FeatureTable], entity="entity
     return out
 
 
+def _newest(tables: dict, keys: list):
+    """One row a key: the newest row of every table as a struct column, null where it has none.
+
+    The tables become one union in which each fills its own column, so that a single aggregate, with partial maxima in
+    the map tasks, and a single exchange replace a join per table."""
+    parts = []
+    for name, (frame, ts, order, cols) in tables.items():
+        have = set(frame.columns)
+        value = F.struct(*[F.col(c) if c in have else F.lit(None).cast("double").alias(c) for c in cols])
+        # without an order of its own a table's values decide, so reruns agree
+        ties = [c for c in order or cols if c in have]
+        parts.append(frame.select(*keys, F.struct(F.struct(ts, *ties).alias("by"), value.alias("value")).alias(name)))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part, allowMissingColumns=True)
+    return union.groupBy(*keys).agg(*[F.max_by(F.col(n)["value"], F.col(n)["by"]).alias(n) for n in tables])
+
+
+def union_matrix(anchor: FeatureTable, tables: list[FeatureTable], entity="entity") -> DataFrame:
+    """The (entity, day) rows of ``anchor`` with the columns of all ``tables``: same rows as :func:`feature_matrix` on the anchor's newest rows.
+
+    However many tables there are, entity tables cost one exchange on (entity, day) in all, and market-wide ones one on the day; the day table,
+    a row a day, is joined last.  A table's columns are null where it has no row; a table without a frame gives nulls only."""
+    def rows(table: FeatureTable, keys: list):
+        frame = table.frame.withColumn(DAY, F.to_date(table.ts))
+        return frame, table.ts, table.order, table.cols
+
+    by_entity = {"_0": rows(anchor, [entity, DAY])}
+    by_day: dict = {}
+    for i, table in enumerate(tables, 1):
+        if table.frame is not None:
+            (by_day if table.market_wide else by_entity)[f"_{i}"] = rows(table, [DAY] if table.market_wide else [entity, DAY])
+    out = _newest(by_entity, [entity, DAY]).filter(F.col("_0").isNotNull())
+    if by_day:
+        out = out.join(_newest(by_day, [DAY]), DAY, "left")
+    cols = [F.col(entity), F.col(DAY), *[F.col("_0")[c].alias(c) for c in anchor.cols]]
+    for i, table in enumerate(tables, 1):
+        cols += [F.lit(None).cast("double").alias(c) if table.frame is None else F.col(f"_{i}")[c].alias(c) for c in table.cols]
+    return out.select(*cols)
+
+
 def training_matrix(labels: DataFrame, tables: list[FeatureTable], universe: DataFrame | None = None,
                     entity="entity") -> DataFrame:
     """Label-anchored matrix, optionally restricted to a universe."""

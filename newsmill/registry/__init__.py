@@ -43,7 +43,7 @@ def present(df: DataFrame) -> DataFrame:
 
 def load() -> None:
     """Import the query modules once."""
-    from newsmill.registry import articles, evaluation, io, ledger, market, streams  # noqa: F401
+    from newsmill.registry import articles, evaluation, io, ledger, market, matrices, streams  # noqa: F401
 
 
 def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:

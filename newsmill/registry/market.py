@@ -154,7 +154,7 @@ RESIDUALS_SQL = """
 
 
 def _residuals(v):
-    return market.beta_residuals(v.hourly_bars, BENCH_H, 48)
+    return market.beta_residuals(v.hourly_bars, v.bench_hourly, 48)
 
 
 @query("beta_residuals", f"""
@@ -277,7 +277,7 @@ REGIME_SQL = f"""{BENCH_SQL}, {BREADTH_SQL},
 
 
 def _regime(v):
-    return market.regime_daily(v.bars, BENCH_D, v.market_index, market.market_breadth(v.bars, 12))
+    return market.regime_daily(v.bars, v.bench_daily, v.market_index, market.market_breadth(v.bars, 12))
 
 
 @query("regime_daily", f"""WITH {REGIME_SQL}
@@ -295,7 +295,7 @@ def _(v):
 
 @query("benchmark_context", f"""WITH {BENCH_SQL} SELECT CAST(date AS VARCHAR) AS date, round(mom_1d, 6) AS bench_momentum_24h, round(vol_7d, 6) AS bench_vol_7d FROM bench""")
 def _(v):
-    return rounded(market.benchmark_context(v.bars, BENCH_D))
+    return rounded(market.benchmark_context(v.bars, v.bench_daily))
 
 
 @query("benchmark_return", """

@@ -110,9 +110,34 @@ def with_views(body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+# the same views with events alone: entities c0 .. c9 that have bars, scores and an index on the same days
+COIN_VIEWS = {
+    "v_daily_bars": """
+        SELECT entity, date, CAST(date AS TIMESTAMP) + INTERVAL 86399 SECOND AS ts, open, high, low, close, volume, market_cap, discount
+        FROM (SELECT 'c' || (user_id % 10) AS entity, CAST(ts AS DATE) AS date, 100 + arg_min(value, event_id) AS open, 100 + max(value) AS high,
+              100 + min(value) AS low, 100 + arg_max(value, event_id) AS close, CAST(count(*) AS DOUBLE) AS volume, sum(value) AS market_cap,
+              avg(value) / 1000 AS discount FROM events GROUP BY ALL)""",
+    "v_hourly_bars": """
+        SELECT 'c' || (user_id % 10) AS entity, date_trunc('hour', ts) AS ts, 100 + arg_min(value, event_id) AS open, 100 + max(value) AS high,
+               100 + min(value) AS low, 100 + arg_max(value, event_id) AS close, CAST(count(*) AS DOUBLE) AS volume
+        FROM events GROUP BY ALL""",
+    "v_market_index": """
+        SELECT date, CAST(date_diff('day', DATE '1970-01-01', date) % 101 AS DOUBLE) AS market_index FROM (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events)""",
+}
+
+
+def coin_sql(statement: str) -> str:
+    """A registered statement over COIN_VIEWS, with c0 as the benchmark."""
+    for name, sql in COIN_VIEWS.items():
+        statement = statement.replace(SQL_VIEWS[name].strip(), sql.strip())
+    return statement.replace("entity <> 'view'", "entity <> 'c0'").replace("entity = 'view'", "entity = 'c0'").replace("entity = 's00'", "entity = 'c0'")
+
+
 class Views:
     """Lazily built frames over one data folder."""
 
+    bench_daily, bench_hourly = "s00", "view"
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
@@ -238,3 +263,29 @@ class Views:
     @cached_property
     def closed_trades(self) -> DataFrame:
         return self.trades.filter("status = 'CLOSED'")
+
+
+class CoinViews(Views):
+    """COIN_VIEWS as frames."""
+
+    bench_daily = bench_hourly = "c0"
+
+    def _bars(self, *when) -> DataFrame:
+        entity = F.concat(F.lit("c"), (F.col("user_id") % 10).cast("string")).alias("entity")
+        return self.table("events").groupBy(entity, *when).agg(
+            (100 + F.min_by("value", "event_id")).alias("open"), (100 + F.max("value")).alias("high"), (100 + F.min("value")).alias("low"),
+            (100 + F.max_by("value", "event_id")).alias("close"), F.count(F.lit(1)).cast("double").alias("volume"),
+            F.sum("value").alias("market_cap"), (F.avg("value") / 1000).alias("discount"))
+
+    @cached_property
+    def daily_bars(self) -> DataFrame:
+        return self._bars(F.to_date("ts").alias("date")).withColumn("ts", F.col("date").cast("timestamp") + F.expr("INTERVAL 86399 SECONDS"))
+
+    @cached_property
+    def hourly_bars(self) -> DataFrame:
+        return self._bars(F.date_trunc("hour", "ts").alias("ts")).drop("market_cap", "discount")
+
+    @cached_property
+    def market_index(self) -> DataFrame:
+        days = self.table("events").select(F.to_date("ts").alias("date")).distinct()
+        return days.select("date", (market.day_number("date") % 101).cast("double").alias("market_index"))

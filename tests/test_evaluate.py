@@ -261,3 +261,59 @@ def test_folds_without_all_classes_have_no_model(spark):
     fit = walkforward.fit_folds(df, folds, ["a"], "y", least_classes=1).collect()
     assert len(fit) == 1 and fit[0]["train_rows"] == 60 and fit[0]["weights"][0] == pytest.approx([0.0, 0.0])
     assert walkforward.fit_folds(df.where("false"), folds, ["a"], "y", least_classes=1).count() == 0
+
+
+def matrix_tables(spark, rng, n=300):
+    """Tables with several rows a day, ties in time, nulls and days of their own."""
+    at = lambda: dt.datetime(2024, 1, 1) + dt.timedelta(hours=int(rng.integers(0, 24 * 8)))
+    value = lambda: None if rng.random() < 0.2 else float(rng.integers(0, 9))
+    rows = lambda k: [(f"e{rng.integers(0, 4)}", at(), value(), value(), int(rng.integers(0, 3))) for _ in range(k)]
+    make = lambda k: spark.createDataFrame(rows(k), "entity string, ts timestamp, a double, b double, seq int")
+    T = matrix.FeatureTable
+    anchor = T(make(n), ["a"], order=("seq", "a", "b"))
+    tables = [T(make(n).withColumnRenamed("a", "x"), ["x", "absent"], order=("seq", "x", "b")), T(make(n).withColumnsRenamed({"a": "y", "b": "z"}), ["y", "z"]),
+              T(make(40).withColumnRenamed("a", "day_a"), ["day_a"], market_wide=True, order=("entity", "seq", "day_a")), T(None, ["gone"]),
+              T(make(0).withColumnRenamed("a", "none"), ["none"])]
+    return anchor, tables
+
+
+def test_union_matrix_has_the_rows_of_the_joins(spark):
+    anchor, tables = matrix_tables(spark, np.random.default_rng(1))
+    newest = anchor.frame.select("entity", "ts", F.to_date("ts").alias("date"), "a", "seq", "b").toPandas()
+    want = {}
+    for r in sorted(newest.itertuples(index=False), key=lambda r: (r.ts, r.seq, not math.isnan(r.a), r.a, not math.isnan(r.b), r.b)):
+        want[r.entity, r.date] = None if math.isnan(r.a) else r.a
+    base = spark.createDataFrame([(*k, v) for k, v in want.items()], "entity string, date date, a double")
+    joined = matrix.feature_matrix(base, tables[:2] + tables[3:]).collect()
+    out = matrix.union_matrix(anchor, tables)
+    assert out.columns == ["entity", "date", "a", "x", "absent", "y", "z", "day_a", "gone", "none"]
+    rows = out.collect()
+    key = lambda r: (r["entity"], r["date"])
+    assert len(rows) == len(want) and {key(r): (r["a"], r["x"], r["absent"], r["y"], r["z"], r["gone"], r["none"]) for r in rows} == {
+        key(r): (r["a"], r["x"], r["absent"], r["y"], r["z"], r["gone"], r["none"]) for r in joined}
+    days = {}
+    for r in sorted(tables[2].frame.collect(), key=lambda r: (r["ts"], r["entity"], r["seq"], r["day_a"] is not None, r["day_a"] or 0)):
+        days[r["ts"].date()] = r["day_a"]
+    assert all(r["day_a"] == days.get(r["date"]) for r in rows)
+    empty = matrix.FeatureTable(anchor.frame.where("false"), ["a"])
+    assert matrix.union_matrix(empty, tables).count() == 0
+
+
+def test_union_matrix_has_one_exchange_for_all_entity_tables(spark, tmp_path):
+    anchor, tables = matrix_tables(spark, np.random.default_rng(2), 50)
+    wide = tables[:2] * 4
+    cols = [[f"{c}{i}" for c in t.cols] for i, t in enumerate(wide)]
+    wide = [matrix.FeatureTable(t.frame.withColumnsRenamed(dict(zip(t.cols, names))), names) for t, names in zip(wide, cols)]
+    text = matrix.union_matrix(anchor, [*wide, tables[2]])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(entity") == 1 and text.count("Exchange hashpartitioning(date") <= 2
+    assert "SortMergeJoin" not in text or text.count("SortMergeJoin") == 1
+
+
+def test_full_matrices_have_values_in_every_table(spark):
+    import __spark_entry__ as entry
+    sf = "/root/testdata/sf0.01"
+    for name, width in (("training_matrix_full", 62), ("inference_matrix_full", 52)):
+        out = entry.queries()[name](spark, sf)
+        assert len(out.columns) == width
+        counts = out.agg(*[F.count(c).alias(c) for c in out.columns]).first().asDict()
+        assert [c for c, n in counts.items() if n == 0] == []
