@@ -111,6 +111,7 @@ def beta_residuals(bars: DataFrame, benchmark: str, window: int = 720, entity="e
     w = W.partitionBy(entity).orderBy(ts)
     change = lambda c: F.coalesce(M.relative_change(c, F.lag(c).over(w)), F.lit(0.0))
     roll = Rolling(pairs.withColumns({"y": change("__close"), "x": change("__bench")}), entity, ts).position()
+    roll.prepare(window, ["x", "y"], [("x", "y")])
     prior = (-window, -1)
     usable = (F.col("position") >= window) & ~roll.flat("x", *prior)
     beta = F.when(usable, F.try_divide(roll.covariance("x", "y", *prior), roll.variance("x", *prior)))
@@ -119,10 +120,10 @@ def beta_residuals(bars: DataFrame, benchmark: str, window: int = 720, entity="e
         "__my": roll.mean("y", *prior), "__mx": roll.mean("x", *prior),
         "__total_std": F.when(roll.count("y", -(window - 1)) >= ratio_min, roll.std("y", -(window - 1))),
     })
-    fitted = roll.df.filter(F.col("beta").isNotNull())
+    fitted = roll.drop_prepared().filter(F.col("beta").isNotNull())
     fitted = fitted.withColumn("alpha", F.col("__my") - F.col("beta") * F.col("__mx"))
     fitted = fitted.withColumn("residual", F.col("y") - (F.col("alpha") + F.col("beta") * F.col("x")))
-    res = Rolling(fitted, entity, ts)
+    res = Rolling(fitted, entity, ts).prepare(window, ["residual"])
     frame = (-(window - 1), 0)
     res_std = F.when(res.count("residual", *frame) >= ratio_min, res.std("residual", *frame))
     res.df = res.df.withColumn("residual_vol_ratio", M.clip(M.ratio(res_std, "__total_std"), 0.0, 1.0))
@@ -167,6 +168,10 @@ def residual_features(residuals: DataFrame, volume: DataFrame | None, frames: Re
     pos = F.col("position")
     tail = lambda n: (-(n - 1), 0)
     prior = (-frames.month, -1)
+    pair = [("lagged", "r")]
+    roll.prepare(frames.month, ["r", "v"]).prepare(frames.fortnight, ["r"]).prepare(frames.week, ["r"]).prepare(frames.short, ["r"])
+    for n in (frames.week, frames.fortnight):  # n values give n - 1 neighbouring pairs
+        roll.prepare(n - 1, ["lagged", "r"], pair)
     v_std = roll.std("v", *prior)
     vz = F.when(
         (pos >= frames.month) & (roll.count("v", *prior) >= least["volume"]) & (v_std > 0),
@@ -178,7 +183,7 @@ def residual_features(residuals: DataFrame, volume: DataFrame | None, frames: Re
         return F.when((pos >= guard) & (roll.count("r", *tail(n)) >= least_n), roll.mean("r", *tail(n)))
 
     def autocorr(n, least_n, guard=0):
-        pairs = (-(n - 2), 0)  # n values give n-1 neighbouring pairs
+        pairs = (-(n - 2), 0)
         den = roll.std("lagged", *pairs) * roll.std("r", *pairs)
         value_ = M.ratio(roll.covariance("lagged", "r", *pairs), den)
         return F.when((pos >= guard) & (roll.count("r", *tail(n)) >= F.lit(max(least_n, 10))), value_)
@@ -200,7 +205,7 @@ def residual_features(residuals: DataFrame, volume: DataFrame | None, frames: Re
         "res_volume_interaction": F.round(
             F.when(roll.count("rv", *tail(frames.day)) >= least["day"], roll.mean("rv", *tail(frames.day))), 8),
     })
-    out = roll.df.withColumn(DAY, F.to_date(ts))
+    out = roll.drop_prepared().withColumn(DAY, F.to_date(ts))
     return (
         first_per_key(out, [entity, DAY], F.desc(ts)).filter(F.col("position") >= frames.week)
         .drop("position", "r", "v", "lagged", "rv")

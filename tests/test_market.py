@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -267,3 +268,51 @@ def test_ranged_calls_equal_the_whole_on_gappy_calendars(spark):
     for whole, part in ((market.forward_labels(bars), market.forward_labels(bars, lo, hi)), (market.cross_section(bars), market.cross_section(bars, lo, hi))):
         want = sorted(map(str, whole.where(f"date between '{lo}' and '{hi}'").collect()))
         assert want and sorted(map(str, part.collect())) == want
+
+
+def plain(f, part, least=1):
+    part = part[~pd.isna(part)] if part.dtype == object else part
+    return f(np.array(part, float)) if len(part) >= least else None
+
+
+@pytest.mark.parametrize("n", [33, 40, 64])
+def test_long_frames_are_the_plain_ones(spark, n):
+    """Nulls, NaN, level drops, flat stretches, series shorter than the frame and tied times, for trailing and strictly earlier frames."""
+    rng = np.random.default_rng(n)
+    series = {"a": [1e10] * 10 + [100.0 + i % 4 for i in range(120)], "b": [1.0, 2.0, float("nan")] + rng.normal(size=200).tolist(),
+              "c": [None if rng.random() < 0.3 else float(v) for v in rng.normal(size=150)], "d": [5.0] * 90 + [6.0] * 90, "e": [1.0, None], "f": [None] * 80}
+    rows = [(k, i, v, None if i % 7 == 3 else float((i * i) % 11) + (v or 0.0)) for k, x in series.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "k string, i int, x double, y double").repartition(3)
+    roll = Rolling(df, "k", "i").prepare(n, ["x"], [("x", "y")])
+    for name, (lo, hi) in {"tail": (-(n - 1), 0), "past": (-n, -1), "older": (-n - 4, -5)}.items():
+        roll.df = roll.df.withColumns({f"{name}_n": roll.count("x", lo, hi), f"{name}_m": roll.mean("x", lo, hi), f"{name}_v": roll.variance("x", lo, hi),
+                                       f"{name}_flat": roll.flat("x", lo, hi), f"{name}_c": roll.covariance("x", "y", lo, hi), f"{name}_s": roll.sum("x", lo, hi)})
+    got = {(r["k"], r["i"]): r for r in roll.drop_prepared().collect()}
+    assert len(got) == len(rows) and not any(c.startswith("__") for c in roll.drop_prepared().columns)
+    near = lambda a, b: (a is None and b is None) or (a is not None and b is not None and (math.isnan(a) and math.isnan(b) or a == pytest.approx(b, rel=1e-7, abs=1e-9)))
+    other = {(k, i): y for k, i, _, y in rows}
+    for k, x in series.items():
+        for i in range(len(x)):
+            for name, (lo, hi) in {"tail": (-(n - 1), 0), "past": (-n, -1), "older": (-n - 4, -5)}.items():
+                span = range(max(0, i + lo), max(0, i + hi + 1))
+                part = np.array([x[j] for j in span if x[j] is not None], float)
+                r = got[k, i]
+                assert r[f"{name}_n"] == len(part)
+                assert near(r[f"{name}_m"], part.mean() if len(part) else None)
+                assert near(r[f"{name}_s"], part.sum() if len(part) else 0.0)
+                assert near(r[f"{name}_v"], part.var(ddof=1) if len(part) > 1 else None)
+                if not np.isnan(part).any():
+                    assert r[f"{name}_flat"] == (len(set(part)) <= 1)
+                both = np.array([(x[j], other[k, j]) for j in span if x[j] is not None and other[k, j] is not None], float)
+                assert near(r[f"{name}_c"], np.cov(both.T)[0, 1] if len(both) > 1 else None)
+
+
+def test_cost_of_long_frames_does_not_follow_their_length(spark):
+    """No sliding frame is left in the plan: running frames and lags only."""
+    df = spark.range(10).selectExpr("id % 3 AS k", "id AS i", "double(id) AS x", "double(id) AS y")
+    roll = Rolling(df, "k", "i").prepare(720, ["x"], [("x", "y")])
+    out = roll.df.select(roll.std("x", -719), roll.mean("x", -720, -1), roll.covariance("x", "y", -719), roll.count("x", -719))
+    text = out._jdf.queryExecution().executedPlan().toString()
+    frames = set(re.findall(r"specifiedwindowframe\(RowFrame, ([^,]+), ([^)]+)\)", text))
+    assert frames and all(a == b or a == "unboundedpreceding$()" for a, b in frames)
+    assert text.count("Exchange hashpartitioning") == 1
