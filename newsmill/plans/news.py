@@ -46,14 +46,14 @@ def is_breaking(tags="tags", ts="published_on", breaking=None, hours: int = rule
 
 def entity_days(scores: DataFrame, articles: DataFrame) -> DataFrame:
     """Per (entity, day): weighted sums over all scores, and the same-day part that also needs the article
-    (tags), which is an inner join on the article id."""
+    (tags), which is an inner join on the article id.  Scores without entities are a row with a null entity."""
     tags = articles.select(F.col("id").alias("news_id"), "tags", F.lit(True).alias("known"))
     rows = scores.join(tags, "news_id", "left").withColumns({
         DAY: F.to_date("published_on"), "w": X.tier_weight("source_tier"),
         "known": F.coalesce("known", F.lit(False)), "breaking": is_breaking(),
         "tier": F.coalesce(F.nullif(F.col("source_tier").cast("int"), F.lit(0)), F.lit(2)),
     })
-    rows = rows.withColumn("entity", F.explode("entities"))
+    rows = rows.withColumn("entity", F.explode_outer("entities"))
     seen = lambda cond: F.coalesce(F.bool_or(F.col("known") & cond), F.lit(False)).cast("int")
     return rows.groupBy("entity", DAY).agg(
         F.count(F.lit(1)).alias("n_all"),
@@ -70,12 +70,15 @@ def entity_days(scores: DataFrame, articles: DataFrame) -> DataFrame:
 def news_signals(scores: DataFrame, articles: DataFrame, start=None, end=None,
                  baseline_days: int = rules.NEWS_BASELINE_DAYS) -> DataFrame:
     """Daily news features per entity, for days with at least one article and entities with a score in the
-    last eight calendar days.  For a range of days the scores are read from ``baseline_days`` earlier on."""
+    last eight calendar days.  For a range of days the scores, and articles that have ``published_on`` as their scores do, are read from
+    ``baseline_days`` earlier on.  Articles are joined once."""
     scores = time_range(scores, "published_on", start, end, max(baseline_days, 7))
-    days = entity_days(scores, articles)
+    if "published_on" in articles.columns:
+        articles = time_range(articles, "published_on", start, end, max(baseline_days, 7))
+    all_days = entity_days(scores, articles)
+    days = all_days.filter(F.col("entity").isNotNull())
     # days with at least one score that has its article
-    processed = scores.join(articles.select(F.col("id").alias("news_id")), "news_id", "left_semi").select(
-        F.to_date("published_on").alias(DAY)).distinct()
+    processed = all_days.filter("n_day > 0").select(DAY).distinct()
     # every (entity, processed day) inside the eight days after an active day; other days of the entity
     # stay as history rows for the frames
     reach = days.select("entity", F.explode(F.sequence(F.col(DAY), F.date_add(DAY, 7))).alias(DAY)).distinct()
@@ -116,11 +119,14 @@ def news_signals(scores: DataFrame, articles: DataFrame, start=None, end=None,
     )
 
 
-def news_events(scores: DataFrame, start=None, lookback: int = 30) -> DataFrame:
+def news_events(scores: DataFrame, start=None, end=None, lookback: int = 30) -> DataFrame:
     """Event type of the day, recency of every event group, volume surprise and share of the day's news for
-    every (entity, day with any news).  History reaches back beyond ``start``; only emitted days are cut."""
-    rows = scores.select("published_on", F.explode("entities").alias("entity"),
-                         X.event_group("event_type").alias("grp")).withColumn(DAY, F.to_date("published_on"))
+    every (entity, day with any news).
+
+    For a range of days the entities are those with news up to ``end``, and the grid of entities and days begins at ``start``.  What lies before it is one aggregate: a
+    row per entity with the last time of every group, and the counts of the last ``lookback`` days that have any."""
+    rows = time_range(scores, "published_on", None, end).select(
+        "published_on", F.explode("entities").alias("entity"), X.event_group("event_type").alias("grp")).withColumn(DAY, F.to_date("published_on"))
     by_group = rows.groupBy("entity", DAY, "grp").agg(
         F.count(F.lit(1)).alias("n"), F.max("published_on").alias("last_ts"))
     # mode with ties to the alphabetically smallest group
@@ -133,8 +139,10 @@ def news_events(scores: DataFrame, start=None, lookback: int = 30) -> DataFrame:
         F.sum("n").alias("n"), best.alias("event_type"),
         *[F.max(F.when(F.col("grp") == g, F.col("last_ts"))).alias(f"last_{g}") for g in rules.RECENCY_GROUPS],
     )
-    totals = daily.groupBy(DAY).agg(F.sum("n").alias("day_total"))
-    # every entity on every day with any news (the output itself): the calendar comes from a scalar
+    first = None if start is None else F.lit(start).cast("date")
+    shown = daily if first is None else daily.filter(F.col(DAY) >= first)
+    totals = shown.groupBy(DAY).agg(F.sum("n").alias("day_total"))
+    # every entity on every shown day with any news (the output itself): the calendar comes from a scalar
     # subquery, the days without news drop out in the equi-join
     span = totals.agg(F.struct(F.min(DAY).alias("lo"), F.max(DAY).alias("hi"))).scalar()
     spine = (
@@ -142,8 +150,13 @@ def news_events(scores: DataFrame, start=None, lookback: int = 30) -> DataFrame:
         .select("entity", F.explode(F.sequence("span.lo", "span.hi")).alias(DAY))
         .join(totals, DAY)
     )
-    grid = spine.join(daily, ["entity", DAY], "left").withColumns({
-        "dn": day_number(DAY), "count_24h": F.coalesce("n", F.lit(0)).cast("int")})
+    grid = spine.join(shown, ["entity", DAY], "left")
+    if first is not None:
+        last = [f"last_{g}" for g in rules.RECENCY_GROUPS]
+        seed = daily.filter(F.col(DAY) < first).groupBy("entity").agg(*[F.max(c).alias(c) for c in last]).withColumn(DAY, F.date_sub(first, lookback + 1))
+        recent = daily.filter((F.col(DAY) < first) & (F.col(DAY) >= F.date_sub(first, lookback))).select("entity", DAY, "n")
+        grid = grid.unionByName(seed, allowMissingColumns=True).unionByName(recent, allowMissingColumns=True)
+    grid = grid.withColumns({"dn": day_number(DAY), "count_24h": F.coalesce("n", F.lit(0)).cast("int")})
     by = W.partitionBy("entity").orderBy("dn")
     past, frame = by.rowsBetween(W.unboundedPreceding, 0), by.rangeBetween(-lookback, -1)
     day_end = F.unix_timestamp(F.col(DAY).cast("timestamp")) + 86399
@@ -158,9 +171,8 @@ def news_events(scores: DataFrame, start=None, lookback: int = 30) -> DataFrame:
         "news_surprise": F.round((F.col("count_24h") - mean) / F.greatest(std, F.lit(0.1)), 4),
         "cross_news_ratio": F.round(F.col("count_24h") / F.greatest(F.col("day_total"), F.lit(1)), 4),
     })
-    if start is not None:
-        out = out.filter(F.col(DAY) >= F.lit(start).cast("date"))
-    return out.select(
+    # rows that only carry history have no day total
+    return out.filter(F.col("day_total").isNotNull()).select(
         "entity", DAY, "event_type", *[f"hours_since_{g}" for g in rules.RECENCY_GROUPS],
         "magnitude_est", F.col("count_24h").alias("event_count_24h"), "news_surprise", "cross_news_ratio",
     )

@@ -8,6 +8,7 @@ from newsmill.functions import rules, text as X
 from newsmill.operators import keys as K, merge, profiles as P
 from newsmill.plans import news, reports as Rp
 from newsmill.registry import query
+from newsmill.registry.views import with_views
 from newsmill.sources import readers
 
 NOW = "2024-01-20 12:00:00"
@@ -136,7 +137,7 @@ def _(v):
     return rows.withColumn("magnitude", X.event_magnitude("grp"))
 
 
-@query("news_signals", """
+SIGNALS_SQL = """
     WITH x AS (SELECT news_id, composite_score AS s, event_type, source_tier, published_on, CAST(published_on AS DATE) AS date, unnest(entities) AS entity,
                       CASE source_tier WHEN 1 THEN 2.0 WHEN 3 THEN 0.4 ELSE 1.0 END::DOUBLE AS w FROM v_scores),
     j AS (SELECT x.*, a.tags FROM x JOIN v_event_articles a ON a.id = x.news_id),
@@ -154,17 +155,32 @@ def _(v):
         round((coalesce(n1, 0) - coalesce(m, 0)) / sd, 4) + 0.0 AS news_volume_zscore_1d, CAST(coalesce(brk, false) AS BIGINT) AS news_breaking_flag, CAST(coalesce(reg, false) AS BIGINT) AS news_regulation_flag,
         CAST(coalesce(sec, false) AS BIGINT) AS news_security_flag, CAST(coalesce(ado, false) AS BIGINT) AS news_adoption_flag, round(coalesce(s1, 0), 6) AS news_source_quality,
         coalesce(t1, 0) AS news_tier1_count_1d, coalesce(t2, 0) AS news_tier2_count_1d, coalesce(t3, 0) AS news_tier3_count_1d
-    FROM spine p LEFT JOIN one USING (entity, date) LEFT JOIN r3 USING (entity, date) LEFT JOIN r7 USING (entity, date) LEFT JOIN bl USING (entity, date)""")
+    FROM spine p LEFT JOIN one USING (entity, date) LEFT JOIN r3 USING (entity, date) LEFT JOIN r7 USING (entity, date) LEFT JOIN bl USING (entity, date)"""
+FROM_DAY, TO_DAY = "2024-01-11", "2024-01-24"
+
+
+def days_of(statement, name):
+    """A registered statement cut to the days of the ranged queries."""
+    return f"SELECT * FROM ({with_views(statement)}) {name} WHERE date BETWEEN '{FROM_DAY}' AND '{TO_DAY}'"
+
+
+@query("news_signals", SIGNALS_SQL)
 def _(v):
     return news.news_signals(v.scores, v.event_articles)
 
 
+@query("news_signals_range", days_of(SIGNALS_SQL, "whole"))
+def _(v):
+    """Two weeks, from no more than their look-back."""
+    return news.news_signals(v.scores, v.event_articles, FROM_DAY, TO_DAY)
+
+
 HOURS = [("listing", "ADOPTION_PARTNERSHIP"), ("hack_exploit", "HACK_EXPLOIT"), ("regulatory", "REGULATION"),
          ("partnership", "ETF_INSTITUTIONAL"), ("tokenomics", "WHALE_MOVEMENT"), ("macro", "MACRO")]
 GRP_CASE = "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{g}'" for g, e in HOURS) + " END"
 
 
-@query("news_events", f"""
+EVENTS_SQL = f"""
     WITH x AS (SELECT CAST(published_on AS DATE) AS date, published_on, unnest(entities) AS entity, {GRP_CASE} AS grp FROM v_scores),
     days AS (SELECT date, count(*) AS total FROM x GROUP BY date),
     spine AS (SELECT entity, date, total FROM (SELECT DISTINCT entity FROM x) CROSS JOIN days),
@@ -176,11 +192,20 @@ GRP_CASE = "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{g}'" for g, e in HO
         {", ".join(f"CASE WHEN l_{g} IS NOT NULL THEN greatest(0, round((epoch(CAST(p.date AS TIMESTAMP)) + 86399 - epoch_us(l_{g}) / 1e6) / 3600, 2)) END AS hours_since_{g}" for g, _ in HOURS)},
         CASE event_type WHEN 'listing' THEN 0.08 WHEN 'hack_exploit' THEN -0.15 WHEN 'regulatory' THEN -0.05 WHEN 'partnership' THEN 0.04 ELSE 0 END::DOUBLE AS magnitude_est,
         coalesce(n, 0) AS event_count_24h, round((coalesce(n, 0) - m) / greatest(sqrt(greatest(q - m * m, 0)), 0.1), 4) + 0.0 AS news_surprise, round(coalesce(n, 0) / total, 4) AS cross_news_ratio
-    FROM spine p LEFT JOIN cnt USING (entity, date) LEFT JOIN dom USING (entity, date) LEFT JOIN rec USING (entity, date) LEFT JOIN bl USING (entity, date)""")
+    FROM spine p LEFT JOIN cnt USING (entity, date) LEFT JOIN dom USING (entity, date) LEFT JOIN rec USING (entity, date) LEFT JOIN bl USING (entity, date)"""
+
+
+@query("news_events", EVENTS_SQL)
 def _(v):
     return news.news_events(v.scores)
 
 
+@query("news_events_range", days_of(EVENTS_SQL, "whole"))
+def _(v):
+    """Two weeks, with what lies before them as a seed."""
+    return news.news_events(v.scores, FROM_DAY, TO_DAY)
+
+
 @query("dominant_event", """
     SELECT CAST(date AS VARCHAR) AS date, event_type, n FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY n DESC, event_type) AS rn
         FROM (SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY ALL)) WHERE rn = 1""")

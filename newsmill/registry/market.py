@@ -44,6 +44,19 @@ def _(v):
     return rounded(v.labels.drop("ts"), 8)
 
 
+@query("forward_labels_range", """
+    SELECT * FROM (SELECT l.entity, CAST(l.date AS VARCHAR) AS date, round(r3, 8) AS forward_ret_3d, round(r14, 8) AS forward_ret_14d, CAST(label_7d AS BIGINT) AS label_7d, round(v30, 8) AS volatility_30d
+    FROM v_labels l JOIN (
+        SELECT entity, date, CASE WHEN count(ret) OVER w30 >= 3 THEN stddev_samp(ret) OVER w30 END AS v30
+        FROM (SELECT entity, date, close / lag(close) OVER (PARTITION BY entity ORDER BY date) - 1 AS ret FROM v_daily_bars)
+        WINDOW w30 AS (PARTITION BY entity ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)) v
+      ON v.entity = l.entity AND v.date = l.date) WHERE date BETWEEN '1996-03-01' AND '1996-06-30'""")
+def _(v):
+    """A quarter of labels, from the bars that its frames reach."""
+    out = market.forward_labels(v.bars, "1996-03-01", "1996-06-30")
+    return rounded(out.select("entity", "date", "forward_ret_3d", "forward_ret_14d", "label_7d", "volatility_30d"), 8)
+
+
 @query("forward_asof", """
     SELECT a.entity, CAST(a.date AS VARCHAR) AS date, round(arg_min(b.close, b.date), 8) AS close_in_5
     FROM v_daily_bars a LEFT JOIN v_daily_bars b ON b.entity = a.entity AND b.date BETWEEN a.date + 5 AND a.date + 8
@@ -233,6 +246,15 @@ def _(v):
     return market.cross_section(v.bars)
 
 
+@query("cross_section_range", f"""
+    WITH {CROSS_SQL}
+    SELECT entity, CAST(date AS VARCHAR) AS date, ret_rank_1d, ret_rank_7d, vol_rank_1d, cap_momentum, breadth_20d, advance_decline, dispersion, hhi_volume FROM cross_rows
+    WHERE date BETWEEN DATE '1996-03-01' AND DATE '1996-06-30'""")
+def _(v):
+    """A quarter, from the bars of its look-back."""
+    return market.cross_section(v.bars, "1996-03-01", "1996-06-30")
+
+
 @query("market_wide_daily", f"""
     WITH {CROSS_SQL}
     SELECT CAST(date AS VARCHAR) AS date, max(breadth_20d) AS breadth_20d, max(advance_decline) AS advance_decline, max(dispersion) AS dispersion, max(hhi_volume) AS hhi_volume
