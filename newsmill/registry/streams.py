@@ -11,17 +11,49 @@ from newsmill.registry.articles import EVENT_TYPE_SQL
 from newsmill.session import scratch_path
 from newsmill.streaming import articles as St
 
-LAND = 4  # files per landing folder
+ROWS_PER_FILE = 1_000_000
+
+
+def _files(rows):
+    """Files of a landing folder: they follow the rows, and are never so few that a stream has one batch only."""
+    return max(4, -(-rows.count() // ROWS_PER_FILE))
 
 
 def _landed(v, rows, order=None, max_files=2):
-    """Write rows as a few files and open them as a stream."""
+    """Write rows as files and open them as a stream."""
     path = scratch_path(v.spark, "landing")
-    rows = rows.repartitionByRange(LAND, order) if order else rows.repartition(LAND)
+    rows = rows.repartitionByRange(_files(rows), order) if order else rows.repartition(_files(rows))
     rows.write.parquet(path)
     return St.stream_files(v.spark, path, rows.schema, max_files=max_files)
 
 
+def _landed_in_time(v, rows, ts, *behind):
+    """Rows in files that come in the order of their times, then the frames ``behind``, each as one more file; a batch takes one file."""
+    path = scratch_path(v.spark, "landing")
+    n = _files(rows)
+    bounds = rows.agg(F.percentile_approx(F.unix_micros(ts), [i / n for i in range(1, n)], 10_000).alias("b")).first()["b"] or []
+    low = [None, *bounds]
+    for lo, hi in zip(low, [*low[1:], None]):
+        part = rows if lo is None else rows.filter(F.unix_micros(ts) >= lo)
+        part = part if hi is None else part.filter(F.unix_micros(ts) < hi)
+        part.coalesce(1).write.mode("append").parquet(path)
+    for more in behind:
+        more.select(*rows.columns).coalesce(1).write.mode("append").parquet(path)
+    return St.stream_files(v.spark, path, rows.schema, max_files=1)
+
+
+def _closed_counts(v, rows, ts, by=(), **windows):
+    """Window counts of a finite stream in append mode, and of a late copy of all its rows that comes when every window is closed."""
+    rows = rows.withColumn(St.CLOSING, F.lit(False))
+    closing = St.closing_row(rows, ts, windows.get("width", "1 hour"))
+    # windows close in the batch after the closing row, rows are late from the batch after that on
+    stream = _landed_in_time(v, rows, ts, closing, closing, rows)
+    counts = _run(v, lambda out, cp: St.append_sink(St.stream_counts(stream, ts, by=by, **windows), out, cp))
+    late = _run(v, lambda out, cp: St.late_sink(stream, out, cp, ts, by=by, **windows)).drop("batch")
+    keys = ["start", "end", *by]
+    return counts.join(late.groupBy(*keys).agg(F.sum("late").alias("late")), keys, "full")
+
+
 def _run(v, start):
     """Start a sink on fresh paths, wait for it, read the result."""
     out, checkpoint = scratch_path(v.spark, "stream-out"), scratch_path(v.spark, "stream-state")
@@ -35,37 +67,37 @@ def _(v):
     return _run(v, lambda out, cp: St.append_sink(stream, out, cp))
 
 
-@query("stream_dedup", "SELECT url, count(*) OVER () AS urls FROM (SELECT DISTINCT url FROM v_articles)")
+@query("stream_dedup", "SELECT DISTINCT url, strftime(published_on, '%Y-%m-%d %H:%M:%S') AS published_on FROM v_articles")
 def _(v):
-    """Re-sent articles dropped inside the watermark span (wide enough here to cover the data)."""
+    """Articles sent twice within the watermark span, and a late copy of all of them, which is dropped."""
     rows = v.articles.select("url", "published_on")
-    stream = St.stream_dedup(_landed(v, rows.unionByName(rows)), delay="60 days")
-    got = _run(v, lambda out, cp: St.append_sink(stream, out, cp))
-    total = got.agg(F.count(F.lit(1))).scalar()
-    return got.select("url").withColumn("urls", total)
+    closing = St.closing_row(rows).drop(St.CLOSING)
+    stream = St.stream_dedup(_landed_in_time(v, rows.unionByName(rows), "published_on", closing, closing, rows), ["url", "published_on"])
+    return _run(v, lambda out, cp: St.append_sink(stream, out, cp)).filter("url IS NOT NULL")
 
 
-@query("stream_counts", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS articles FROM events GROUP BY ALL")
+@query("stream_counts", """
+    SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS articles, count(*) AS late FROM events GROUP BY ALL""")
 def _(v):
-    stream = _landed(v, v.table("events").select("ts", "event_type"), "ts")
-    counts = St.stream_counts(stream, "ts", by=["event_type"])
-    return _run(v, lambda out, cp: St.complete_sink(counts, out, cp)).select("start", "event_type", "articles")
+    """Hourly counts, emitted once each, with a late copy of every row counted beside them."""
+    counts = _closed_counts(v, v.table("events").select("ts", "event_type"), "ts", by=["event_type"])
+    return counts.select("start", "event_type", "articles", "late")
 
 
 @query("stream_sliding_counts", """
-    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS start, count(*) AS articles FROM (SELECT unnest(generate_series(date_trunc('hour', ts) - INTERVAL 23 HOUR, date_trunc('hour', ts), INTERVAL 1 HOUR)) AS s FROM events) GROUP BY s""")
+    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS start, count(*) AS articles, count(*) AS late FROM (SELECT unnest(generate_series(date_trunc('hour', ts) - INTERVAL 23 HOUR, date_trunc('hour', ts), INTERVAL 1 HOUR)) AS s FROM events) GROUP BY s""")
 def _(v):
-    stream = _landed(v, v.table("events").select("ts"), "ts")
-    counts = St.stream_counts(stream, "ts", "24 hours", "1 hour")
-    return _run(v, lambda out, cp: St.complete_sink(counts, out, cp)).select("start", "articles")
+    counts = _closed_counts(v, v.table("events").select("ts"), "ts", width="24 hours", slide="1 hour")
+    return counts.select("start", "articles", "late")
 
 
 @query("stream_breaking", """
     SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, count(*) AS articles FROM events JOIN v_event_articles ON id = event_id WHERE tags LIKE '%Breaking%' AND hour(ts) >= 20 GROUP BY 1""")
 def _(v):
-    rows = v.scores.select(F.col("news_id").alias("id"), "published_on").join(v.event_articles, "id")
-    counts = St.stream_breaking(_landed(v, rows, "published_on"))
-    return _run(v, lambda out, cp: St.complete_sink(counts, out, cp)).select(F.to_date("start").alias("date"), "articles")
+    rows = v.scores.select(F.col("news_id").alias("id"), "published_on").join(v.event_articles, "id").withColumn(St.CLOSING, F.lit(False))
+    closing = St.closing_row(rows, width="1 day")
+    stream = _landed_in_time(v, rows, "published_on", closing, closing, rows)
+    return _run(v, lambda out, cp: St.append_sink(St.stream_breaking(stream), out, cp)).select(F.to_date("start").alias("date"), "articles")
 
 
 @query("stream_enrich", f"""
@@ -93,7 +125,7 @@ def _(v):
     SELECT entity, CAST(date AS VARCHAR) AS date, n, CAST(sum(n) OVER (PARTITION BY entity ORDER BY date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS n_7d
     FROM (SELECT entity, CAST(published_on AS DATE) AS date, count(*) AS n FROM (SELECT published_on, unnest(entities) AS entity FROM v_scores) GROUP BY ALL)""")
 def _(v):
-    """Changed days stream in; each batch recomputes its days from history with a seven-day look-back."""
+    """Changed days stream in, one of them late; each batch recomputes the days that depend on them, with a six-day look-back."""
     from pyspark.sql import Window as W
 
     from newsmill.plans.market import day_number
@@ -104,11 +136,19 @@ def _(v):
         w = W.partitionBy("entity").orderBy("dn").rangeBetween(-6, 0)
         return daily.select("entity", "n", F.sum("n").over(w).alias("n_7d"), "date")
 
-    path = scratch_path(v.spark, "incremental")
+    path, past, landing = (scratch_path(v.spark, n) for n in ("incremental", "history", "landing"))
     build(rows).limit(0).write.parquet(path)
     schema = build(rows).schema
-    stream = _landed(v, rows.select("date").distinct(), "date")
-    St.incremental_refresh(stream, rows, build, path, scratch_path(v.spark, "stream-state"), ["entity", "date"], lookback_days=7).awaitTermination()
+    # one day in the middle of the calendar comes after all others
+    calendar = rows.agg(F.percentile_approx(F.unix_date("date"), 0.5).alias("d")).first()["d"] or 0
+    late = F.unix_date("date") == calendar
+    for part in (rows.filter(~late), rows.filter(late)):
+        part.write.mode("append").parquet(past)
+        part.select("entity", "date").distinct().repartitionByRange(4, "date").write.mode("append").parquet(landing)
+        stream = St.stream_files(v.spark, landing, "entity string, date date", max_files=2)
+        # the same checkpoint: the second run sees the late day only
+        history = lambda: v.spark.read.schema(rows.schema).parquet(past)
+        St.incremental_refresh(stream, history, build, path, f"{path}-state", ["entity"], lookback_days=6).awaitTermination()
     return v.spark.read.schema(schema).parquet(path)
 
 

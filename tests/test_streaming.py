@@ -90,3 +90,62 @@ def test_hours_since_state(spark, tmp_path):
     q.awaitTermination()
     last = {(r["entity"], r["grp"]): r["hours_since"] for r in spark.read.parquet(out).orderBy("ts").collect()}
     assert last == {("e", "macro"): 5.0, ("e", "listing"): 0.0, ("f", "macro"): 0.0}
+
+
+def test_closed_windows_leave_the_state_and_late_rows_are_counted(spark, tmp_path, rows):
+    path = str(tmp_path / "in")
+    shape = SCHEMA + ", closing boolean"
+    many = [(i, "u", at(minutes=10 * i), None, False) for i in range(600)]
+    for i in range(0, 600, 100):
+        spark.createDataFrame(many[i:i + 100], shape).coalesce(1).write.mode("append").parquet(path)
+    closing = St.closing_row(spark.createDataFrame(many, shape))
+    assert [tuple(r) for r in closing.collect()] == [(None, None, at(minutes=5990) + dt.timedelta(hours=3, seconds=1), None, True)]
+    for more in (closing, closing, spark.createDataFrame(many[:30] + [(0, None, at(hours=200), None, False)], shape)):
+        more.coalesce(1).write.mode("append").parquet(path)
+    stream = lambda: St.stream_files(spark, path, shape, max_files=1)
+    q = St.append_sink(St.stream_counts(stream()), str(tmp_path / "out"), str(tmp_path / "cp"))
+    finish(q)
+    held = [s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]]
+    assert max(held) < 25  # a batch spans 17 hours, the delay two more; all 100 windows are never held together
+    got = {r["start"]: r["articles"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {at(hours=h): 6 for h in range(100)}
+    finish(St.late_sink(stream(), str(tmp_path / "late"), str(tmp_path / "cp2")))
+    late = spark.read.parquet(str(tmp_path / "late"))
+    assert {r["start"]: r["late"] for r in late.collect()} == {at(hours=h): 6 for h in range(5)}
+    assert sum(s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"]) >= 5
+
+
+def test_touched_intervals_are_merged_per_key(spark, rows):
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    df = spark.createDataFrame([("a", day(0)), ("a", day(4)), ("a", day(8)), ("a", day(0)), ("b", day(4)), (None, day(1)), ("a", None)], "k string, date date")
+    got = rows(St.touched_intervals(df, ["k"], "date", 1, 2))
+    assert sorted(got, key=repr) == sorted([("a", day(-1), day(10)), ("b", day(3), day(6)), (None, day(0), day(3))], key=repr)
+    apart = rows(St.touched_intervals(df.where("k = 'a'"), ["k"], "date", 0, 1))
+    assert sorted(apart) == [("a", day(0), day(1)), ("a", day(4), day(5)), ("a", day(8), day(9))]
+
+
+def test_refresh_reads_only_what_depends_on_the_changed_days(spark, tmp_path, rows):
+    from pyspark.sql import Window as W
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    past = [(k, day(n), 1) for k in "ab" for n in range(60)]
+    seen = []
+
+    def build(history):
+        seen.append({(r["k"], r["date"]) for r in history.collect()})
+        w = W.partitionBy("k").orderBy(F.unix_date("date")).rangeBetween(-2, 0)
+        return history.groupBy("k", "date").agg(F.sum("n").alias("n")).select("k", F.sum("n").over(w).alias("total"), "date")
+
+    frame = lambda rs: spark.createDataFrame(rs, "k string, date date, n int")
+    table = str(tmp_path / "t")
+    build(frame(past)).write.partitionBy("date").parquet(table)
+    now = [*past, ("a", day(10), 5), ("c", dt.date(1970, 1, 1), 7)]
+    now.remove(("a", day(40), 1))
+    changes = str(tmp_path / "in")
+    frame([("a", day(10), 0), ("c", dt.date(1970, 1, 1), 0), ("a", day(40), 0)]).select("k", "date").write.parquet(changes)
+    seen.clear()
+    St.incremental_refresh(St.stream_files(spark, changes, "k string, date date"), frame(now), build, table, str(tmp_path / "cp"), ["k"], lookback_days=2).awaitTermination()
+    read = seen[0]
+    want_days = {*range(8, 13), *range(38, 43)} - {40}
+    assert read == {("a", day(n)) for n in want_days} | {("c", dt.date(1970, 1, 1))}
+    fresh = sorted(rows(build(frame(now)).select("k", "date", "total")))
+    assert sorted(rows(spark.read.parquet(table).select("k", "date", "total"))) == fresh
