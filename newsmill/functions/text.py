@@ -34,19 +34,16 @@ def whole_word(alternatives: str) -> str:
     return rf"(?iuU)\b({alternatives})\b"
 
 
-def name_table(by_entity: dict) -> tuple[Column, str]:
-    """(name -> entities, pattern).  The pattern looks ahead at every position for the longest whole-word name, so names
-    that begin inside another are found; names that are the beginning of the found one come from the table."""
-    own = {name: [] for name in by_entity.values()}
+def name_table(by_entity: dict) -> tuple[Column, Column]:
+    """(trigger words, trigger -> names): a name is found by one of its words, its longest, so that a text's distinct words meet the dictionary
+    in one set operation however long it is.  A name of one word is found with it; any other has a whole-word pattern to be checked.  Names without a word have the trigger ""."""
+    table: dict[str, list] = {}
     for i, (entity, name) in enumerate(by_entity.items()):
-        for longer in own:
-            if re.match(rf"{re.escape(name)}(?!\w)", longer):
-                own[longer].append((i, entity))
-    longest = sorted(own, key=len, reverse=True)
-    pattern = r"(?iuU)(?=(?<!\w)(" + "|".join(f"\\Q{n}\\E" for n in longest) + r")(?!\w))"
-    struct = lambda i, e: F.struct(F.lit(i).alias("i"), F.lit(e).alias("e"))
-    table = F.create_map(*[x for n, es in own.items() for x in (F.lit(n), F.array(*[struct(i, e) for i, e in es]))])
-    return table, pattern
+        trigger = max(re.findall(r"\w+", name), key=len, default="")
+        pattern = None if trigger == name else rf"(?iuU)(?<!\w)\Q{name}\E(?!\w)"
+        table.setdefault(trigger, []).append((i, entity, pattern))
+    struct = lambda i, e, p: F.struct(F.lit(i).alias("i"), F.lit(e).alias("e"), F.lit(p).cast("string").alias("p"))
+    return F.array(*map(F.lit, table)), F.create_map(*[x for t, own in table.items() for x in (F.lit(t), F.array(*[struct(*o) for o in own]))])
 
 
 def map_entities(
@@ -75,10 +72,12 @@ def map_entities(
         whole = F.coalesce(F.col(body), F.lit("")) if body else F.lit("")
         whole = F.substring(whole, 1, scan_chars) if scan_chars else whole
         text = F.lower(F.concat_ws(" ", F.coalesce(F.col(title), F.lit("")), whole))
-        table, pattern = name_table(by_entity)
-        hits = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 1))
-        found_names = F.array_distinct(F.flatten(F.transform(hits, lambda h: F.element_at(table, h))))
-        found = F.array_union(found, F.transform(F.array_sort(found_names), lambda p: p["e"]))
+        triggers, table = name_table(by_entity)
+        # "" stands for names without a word, which every text may hold
+        words = F.array_append(F.split(text, r"(?U)\W+"), F.lit(""))
+        near = F.flatten(F.transform(F.array_intersect(words, triggers), lambda w: F.element_at(table, w)))
+        found_names = F.filter(near, lambda n: n["p"].isNull() | F.regexp_like(text, n["p"]))
+        found = F.array_union(found, F.transform(F.array_sort(found_names), lambda n: n["e"]))
     if proxy is None:
         return found
     market_wide = F.exists(toks, lambda t: t.isin(market))
