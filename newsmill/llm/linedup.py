@@ -19,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 def text_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line_no, pos, hash, words, upto): the lines that hold a word.  ``line_no`` counts all lines of the text,
     ``pos`` these lines only, ``upto`` the words up to and with the line."""
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
     rows = rows.select("doc_id", "line_no", F.xxhash64("line").alias("hash"), F.regexp_count("line", F.lit(WORD)).alias("words")).where("words > 0")
     rows = rows.repartition("doc_id").distinct()
     w = W.partitionBy("doc_id").orderBy("line_no", "hash").rowsBetween(W.unboundedPreceding, 0)
@@ -64,16 +64,17 @@ def delete_repeated_lines(docs: DataFrame, min_words: int = 50, key: str = "doc_
 
     A run is a stretch of consecutive lines (lines without words are passed over and never deleted) with at least
     ``min_words`` words that equals a stretch starting earlier: in a document with a smaller key, or before it in the
-    same document.  Every line of such a run goes.  ``key`` identifies documents: repeated rows are one document and come back alike, and rows with a
-    null key are neither compared nor changed.  Null and empty texts come back as they are, with 0; so do texts under
+    same document.  Every line of such a run goes.  Documents are told apart by ``key`` and a hash of the text, and ranked so, null keys
+    last: rows without a key and different texts of one key are documents of their own; rows that agree in both are one document and come back alike.  Null and empty texts come back as they are, with 0; so do texts under
     ``min_words`` words.  Extra columns are kept; ``removed_lines`` and names starting with ``_`` must be free; an empty
     table gives an empty result."""
-    lines = materialize(text_lines(docs, key, text))
+    docs = docs.withColumn("_doc", F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("key"), F.xxhash64(text).alias("digest")))
+    lines = materialize(text_lines(docs, "_doc", text))
     runs = repeated_runs(lines, min_words)
     places = runs.select("doc_id", F.explode(F.sequence("first", "last")).alias("pos")).distinct()
     gone = (places.join(lines.select("doc_id", "pos", "line_no"), ["doc_id", "pos"]).groupBy(F.col("doc_id").alias("_gone_key"))
             .agg(F.collect_set("line_no").alias("_gone")))
-    rows = docs.join(gone, F.col(key) == F.col("_gone_key"), "left").drop("_gone_key")
+    rows = docs.join(gone, F.col("_doc") == F.col("_gone_key"), "left").drop("_gone_key", "_doc")
     own = F.split(F.col(text), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), F.col("_gone"))
     cut = F.array_join(F.transform(left, lambda i: F.get(own, i)), "\n")

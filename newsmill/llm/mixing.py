@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from newsmill.session import materialize
+
 ROWS_PER_BLOCK = 50_000
 
 
@@ -43,17 +45,18 @@ def water_fill(sources: DataFrame, size: str, weight: str, budget_share: float,
     return s.withColumn("target", level).drop(*[c for c in s.columns if c.startswith("_")])
 
 
-def seeded_rank(key: Column, seed: int) -> Column:
-    """A text that orders rows pseudo-randomly and equally in every run."""
-    return F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}")))
+def seeded_rank(key: Column, text: Column, seed: int) -> Column:
+    """A text that orders rows pseudo-randomly and equally in every run, rows without a key too: it follows from key and text."""
+    whole = F.md5(F.coalesce(text, F.lit("")))
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit("|"), whole, F.lit(f"|{seed}")))
 
 
 def mix_sources(docs: DataFrame, weights: list[float] = (3.0, 1.0, 2.0), budget_share: float = 1.5,
                 max_epochs: float = 2.0, seed: int = 7, key: str = "doc_id", text: str = "text",
-                source: str = "source") -> DataFrame:
+                source: str = "source", row: str | None = None) -> DataFrame:
     """How often each document goes into the mix.
 
-    Returns (key, size, source_size, target, epochs, copies, taken).  A source wanted ``e`` times gives every document
+    Returns (key, source, size, source_size, target, epochs, copies, taken), and the column ``row`` if one is named.  A source wanted ``e`` times gives every document
     floor(e) times, and the documents that come first in a seeded order once more, until the fraction is reached (the
     one at the edge is in when more than half of it fits), so a source misses its target by half a document at most
     and no document is taken more than ceil(e) <= max_epochs times.
@@ -61,10 +64,12 @@ def mix_sources(docs: DataFrame, weights: list[float] = (3.0, 1.0, 2.0), budget_
     The seeded order of a source is cut into blocks by the first bits of the hash; block totals are summed first and
     carried forward, so a source holding a third of all rows is spread over as many tasks as its rows need.
 
-    Null or empty texts have size 0 and are taken 0 times over; null sources are one source, last; null keys and
-    repeated rows are ranked like others (equal keys share one place in the order by their size; the sums stay exact).
+    Null or empty texts have size 0 and are taken 0 times over; null sources are one source, last; rows without a key, of a shared key and repeated rows are ranked
+    like others, by key and text (rows that agree in both are interchangeable; the sums stay exact).  Texts are read once.
     Columns beyond the named ones are ignored; an empty table gives an empty result."""
-    d = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    own = [F.col(row).alias("_row")] if row else []
+    d = materialize(docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+                                seeded_rank(F.col(key), F.col(text), seed).alias("_order"), *own))
     sources = water_fill(cyclic_weights(d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")),
                                         "source", list(weights)), "source_size", "weight", budget_share, max_epochs)
     sources = (sources.withColumn("epochs", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
@@ -72,7 +77,6 @@ def mix_sources(docs: DataFrame, weights: list[float] = (3.0, 1.0, 2.0), budget_
                .withColumn("_goal", F.col("target") - F.col("_whole") * F.col("source_size"))
                .withColumn("_blocks", F.ceil(F.col("n_docs") / ROWS_PER_BLOCK))
                .select("source", "source_size", "target", "epochs", "_whole", "_goal", "_blocks"))
-    d = d.withColumn("_order", seeded_rank(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), seed))
     d = d.join(sources, d.source.eqNullSafe(sources.source)).drop(sources.source)
     # seven hex digits as a fraction of 16^7 choose the block, so blocks follow the order
     place = F.conv(F.substring("_order", 1, 7), 16, 10).cast("long")
@@ -87,20 +91,27 @@ def mix_sources(docs: DataFrame, weights: list[float] = (3.0, 1.0, 2.0), budget_
     extra = F.col("_goal") - (end - F.col("size")) > F.col("size") / 2
     copies = (F.col("_whole") + extra.cast("long")).cast("long")
     return d.withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(F.col("_whole").cast("long"))).select(
-        "doc_id", "source", "size", "source_size", "target", "epochs", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+        "doc_id", "source", "size", "source_size", "target", "epochs", "copies", (F.col("size") * F.col("copies")).alias("taken"),
+        *[F.col("_row").alias(row) for _ in own])
 
 
 def apply_mix(docs: DataFrame, mix: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Repeat each document as often as the mix says; documents taken 0 times go.  Rows that share
-    a key are repeated alike, by the largest of their numbers."""
-    own = mix.select(F.col("doc_id").alias("_key"), F.col("copies").alias("_copies")).groupBy("_key").agg(F.max("_copies").alias("_copies")).where("_copies > 0")
+    """Repeat each row as often as the mix says; rows taken 0 times go.  ``key`` names the rows of ``docs`` and is doc_id in ``mix``, or the row column of both; rows that share
+    it are repeated alike, by the largest of their numbers, so pass a row number where ids are missing or shared."""
+    own = mix.select(F.col(key if key in mix.columns else "doc_id").alias("_key"), F.col("copies").alias("_copies")).groupBy("_key").agg(F.max("_copies").alias("_copies")).where("_copies > 0")
     rows = docs.join(own, F.col(key).eqNullSafe(F.col("_key")))
     return rows.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
 
 
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each repeated or left out by its own number, whatever its id.  The options are those of :func:`mix_sources`."""
+    rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()))
+    return apply_mix(rows, mix_sources(rows, row="_row", **options), "_row").drop("_row")
+
+
 MIX_SQL = r"""
 WITH d AS (SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-                  md5(COALESCE(CAST(doc_id AS VARCHAR), '') || '|7') AS ord FROM documents),
+                  md5(COALESCE(CAST(doc_id AS VARCHAR), '') || '|' || md5(COALESCE(text, '')) || '|7') AS ord FROM documents),
 s0 AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size,
               [3.0, 1.0, 2.0][CAST((ROW_NUMBER() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS INTEGER) + 1]::DOUBLE AS weight
        FROM d GROUP BY source),
