@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from newsmill.operators.ordering import avg_rank, block_count, block_of, quantile_bounds, ranks_of_counts, running_sums
@@ -70,15 +72,41 @@ def ic_by_month(daily: DataFrame, day: str = DAY) -> DataFrame:
 
 
 def rolling_ic(df: DataFrame, signal: str, ret: str, window: int = 20, least: int = 10, day: str = DAY) -> DataFrame:
-    """Pooled IC of each block of ``window`` consecutive dates, labelled by the date after the block."""
+    """Pooled IC of each block of ``window`` consecutive dates, labelled by the date after the block.
+
+    A row belongs to ``window`` blocks but is sent to two tasks at most: blocks that end within ``window`` dates of each other are one group, which holds the
+    cross-sections of twice as many dates and ranks them block by block."""
     dates = df.select(day).distinct().select(
         day, (F.row_number().over(W.orderBy(day)) - 1).alias("pos"), F.count(F.lit(1)).over(W.partitionBy()).alias("total"))
-    first = F.greatest(F.col("pos") + 1, F.lit(window))
-    last = F.least(F.col("pos") + window, F.col("total") - 1)
-    blocks = dates.filter(first <= last).select(day, F.explode(F.sequence(first, last)).alias("block"))
-    pooled = df.select(day, signal, ret).join(blocks, day)
-    ic = group_ic(pooled, ["block"], signal, ret, least).withColumn("ic", F.round("ic", 6))
-    return ic.join(dates.select(F.col("pos").alias("block"), F.col(day).alias("as_of")), "block").select("as_of", "n", "ic")
+    known = df.filter(F.col(signal).isNotNull() & F.col(ret).isNotNull())
+    rows = known.select(day, F.col(signal).cast("double").alias("x"), F.col(ret).cast("double").alias("y")).join(dates, day)
+    lo, hi = F.greatest(F.col("pos") + 1, F.lit(window)), F.least(F.col("pos") + window, F.col("total") - 1)
+    near = rows.filter(lo <= hi).select("pos", "total", "x", "y", F.explode(F.sequence(F.floor(lo / window), F.floor(hi / window))).alias("group"))
+
+    def blocks(table: pa.Table) -> pa.Table:
+        pos, x, y = (table.column(c).to_numpy() for c in ("pos", "x", "y"))
+        group, total = table.column("group")[0].as_py(), table.column("total")[0].as_py()
+        order = np.argsort(pos, kind="stable")
+        pos, x, y = pos[order], x[order], y[order]
+        out = []
+        for block in range(max(window, group * window), min(total, (group + 1) * window)):
+            a, b = np.searchsorted(pos, [block - window, block])
+            if b - a >= least:
+                rx, ry = _average_ranks(x[a:b]), _average_ranks(y[a:b])
+                spread = rx.std() * ry.std()
+                out.append((block, b - a, ((rx - rx.mean()) * (ry - ry.mean())).mean() / spread if spread > 0 else None))
+        names = list(zip(*out)) or [[], [], []]
+        return pa.table({"block": pa.array(names[0], pa.int32()), "n": pa.array(names[1], pa.int64()), "ic": pa.array(names[2], pa.float64())})
+
+    ic = near.groupBy("group").applyInArrow(blocks, "block int, n long, ic double")
+    as_of = dates.select(F.col("pos").alias("block"), F.col(day).alias("as_of"))
+    return ic.join(as_of, "block").select("as_of", "n", F.round("ic", 6).alias("ic"))
+
+
+def _average_ranks(values: np.ndarray) -> np.ndarray:
+    """Average-tie ranks from 1."""
+    _, index, counts = np.unique(values, return_inverse=True, return_counts=True)
+    return (np.cumsum(counts) - (counts - 1) / 2)[index]
 
 
 def rolling_ic_summary(rolling: DataFrame) -> DataFrame:

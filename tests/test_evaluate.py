@@ -317,3 +317,21 @@ def test_full_matrices_have_values_in_every_table(spark):
         assert len(out.columns) == width
         counts = out.agg(*[F.count(c).alias(c) for c in out.columns]).first().asDict()
         assert [c for c, n in counts.items() if n == 0] == []
+
+
+def test_rolling_ic_pools_every_block(spark):
+    """Gaps in the calendar, ties, nulls, constant stretches and blocks with few rows, against a pooled rank correlation."""
+    rng = np.random.default_rng(12)
+    days = sorted(D0 + dt.timedelta(days=int(d)) for d in rng.choice(150, 70, replace=False))
+    rows = [(d, f"e{e}", None if rng.random() < 0.1 else float(rng.integers(0, 6)) if d < days[50] else 1.0, None if rng.random() < 0.2 else float(rng.normal()))
+            for i, d in enumerate(days) for e in range(1 if 25 < i < 40 else 6)]
+    df = spark.createDataFrame(rows, "date date, entity string, s double, r double")
+    for window, least in ((20, 10), (7, 12), (100, 10)):
+        got = {r["as_of"]: (r["n"], r["ic"]) for r in E.rolling_ic(df, "s", "r", window, least).collect()}
+        want = {}
+        for p in range(window, len(days)):
+            part = pd.DataFrame([(s, r) for d, _, s, r in rows if days[p - window] <= d < days[p] and s is not None and r is not None], columns=["s", "r"])
+            if len(part) >= least:
+                ic = part["s"].rank().corr(part["r"].rank())
+                want[days[p]] = (len(part), None if math.isnan(ic) else pytest.approx(ic, abs=1e-6))
+        assert got == want
