@@ -9,6 +9,7 @@ from newsmill.operators import keys as K, merge, profiles as P
 from newsmill.plans import news, reports as Rp
 from newsmill.registry import query
 from newsmill.registry.views import with_views
+from newsmill.session import materialize
 from newsmill.sources import readers
 
 NOW = "2024-01-20 12:00:00"
@@ -610,6 +611,39 @@ def _(v):
     return P.coverage_matrix(_feeds(v))
 
 
+@query("coverage", f"""WITH {FEEDS_SQL}, k AS (SELECT count(DISTINCT category) AS known FROM edges),
+    sh AS (SELECT count(*) AS shared FROM (SELECT category FROM edges GROUP BY category HAVING count(*) = (SELECT count(*) FROM feeds)))
+    SELECT source, n AS covered, known - n AS missing, shared FROM feeds, k, sh""")
+def _(v):
+    return P.coverage(_feeds(v))
+
+
+RANKS = (0.25, 0.5, 0.75, 0.95)
+
+
+@query("approximate_profile", """
+    SELECT unnest(['rows', 'distinct url', 'distinct body_length', 'quantile_0.25', 'quantile_0.5', 'quantile_0.75', 'quantile_0.95']) AS metric,
+        unnest([count(*), count(DISTINCT url), count(DISTINCT body_length), NULL, NULL, NULL, NULL]) AS exact, 1 AS within FROM v_articles""")
+def _(v):
+    """Sketches per day, merged over all days, against the exact figures: distinct counts within 3 %, quantiles within 2 % of their rank (three standard
+    errors and more)."""
+    rows = v.articles.select("url", "body_length", "published_on")
+    found = materialize(P.sketched_profile(P.day_sketches(rows, "published_on", ["url", "body_length"], ["body_length"]), ranks=RANKS))
+    estimate = lambda section, key: found.filter((F.col("section") == section) & (F.col("key") == key)).select("value").scalar()
+    n, length = F.count(F.lit(1)), F.col("body_length")
+    checks = [("rows", n, n == estimate("rows", "rows"))]
+    for c in ("url", "body_length"):
+        exact = F.countDistinct(c)
+        checks.append((f"distinct {c}", exact, F.abs(estimate("distinct", c) - exact) <= 0.03 * exact))
+    for r in RANKS:
+        value = estimate(f"quantile_{r}", "body_length")
+        inside = (F.count_if(length < value) / n <= r + 0.02) & (F.count_if(length <= value) / n >= r - 0.02)
+        checks.append((f"quantile_{r}", F.lit(None).cast("long"), inside))
+    wide = rows.agg(*[c.alias(f"{p}{i}") for i, (_, exact, near) in enumerate(checks) for p, c in (("e", exact), ("w", near.cast("int")))])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"e{i}").alias("exact"), F.col(f"w{i}").alias("within"))
+                                          for i, (m, _, _) in enumerate(checks)])))
+
+
 @query("dataset_quality", " UNION ALL ".join([
     *[long_sql("completeness", t, **{t: "count(*)"}) for t in ("supplier", "part", "documents")],
     long_sql("completeness", "documents WHERE doc_id < 0", empty="count(*)"), "SELECT 'issue_empty' AS section, 'empty' AS key, CAST(0 AS DOUBLE) AS value", "SELECT 'operations' AS section, 'success_rate' AS key, CAST(80 AS DOUBLE) AS value",

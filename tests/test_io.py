@@ -160,3 +160,51 @@ def test_merge_keeps_rows_of_the_null_partition(spark, tmp_path, rows):
     inc = spark.createDataFrame([(2, "B", None), (4, "n", None)], "k int, v string, d date")
     merge.merge_into_table(path, inc, ["k"], ["v"], "d")
     assert rows(spark.read.parquet(path).select("k", "v")) == [(1, "a"), (2, "B"), (3, "c"), (4, "n")]
+
+
+def test_profiles_scan_their_table_once(spark, tmp_path, monkeypatch):
+    """The rows a profile reads from its table: each once, whatever its number of sections."""
+    rows = [(f"s{i % 7}", "|".join(["A", f"c{i % 3}"][: 1 + i % 2]), None if i % 5 == 0 else "t", "x" * (i % 11), "u" if i % 2 else "", f"2024-01-0{1 + i % 9} 00:00:00") for i in range(90)]
+    names = "source string, categories string, tags string, body string, imageurl string, at string"
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, names).selectExpr("*", "source AS source_name", "to_timestamp(at) AS published_on")
+    counted = df.mapInArrow(count, df.schema)
+    got = {(r["section"], r["key"]): r["value"] for r in P.article_profile(counted).collect()}
+    assert seen.value == 90
+    assert got["totals", "total_articles"] == 90 and got["totals", "unique_sources"] == 7 and got["totals", "unique_categories"] == 4 and got["totals", "unique_tags"] == 1
+    assert got["top_categories", "A"] == 90 and got["top_tags", "t"] == 72 and got["totals", "max_length"] == 10
+    empty = {(r["section"], r["key"]): r["value"] for r in P.article_profile(df.limit(0)).collect()}
+    assert empty["totals", "total_articles"] == 0 and empty["totals", "unique_tags"] == 0 and empty["totals", "avg_length"] is None
+
+
+def test_coverage_over_many_categories(spark):
+    """More numbers than one bitmap holds, feeds in several rows, and feeds without categories."""
+    wide = [f"c{i:06d}" for i in range(40_000)]
+    feeds = [("all", wide), ("half", wide[::2]), ("half", wide[:10]), ("last", ["c039999", "c000000"]), ("none", [])]
+    df = spark.createDataFrame(feeds, "source string, categories array<string>")
+    got = {r["source"]: (r["covered"], r["missing"], r["shared"]) for r in P.coverage(df).collect()}
+    assert got == {"all": (40_000, 0, 1), "half": (20_005, 19_995, 1), "last": (2, 39_998, 1)}
+    small = df.where("source = 'last'").unionByName(spark.createDataFrame([("x", ["c000000", "q"])], df.schema))
+    assert sorted((r["source"], r["category"], r["covers"]) for r in P.coverage_matrix(small).collect()) == [
+        ("last", "c000000", True), ("last", "c039999", True), ("last", "q", False), ("x", "c000000", True), ("x", "c039999", False), ("x", "q", True)]
+    assert P.coverage(df.limit(0)).count() == 0
+
+
+def test_sketches_of_days_add_up(spark):
+    df = spark.range(20_000).selectExpr("id % 5000 AS k", "id AS x", "timestamp_seconds(1704067200 + id * 43) AS t")
+    days = P.day_sketches(df, "t", ["k"], ["x"])
+    whole = {(r["section"], r["key"]): r["value"] for r in P.sketched_profile(days).collect()}
+    assert whole["rows", "rows"] == 20_000 and abs(whole["distinct", "k"] - 5000) < 150 and abs(whole["quantile_0.5", "x"] - 10_000) < 400
+    part = {(r["section"], r["key"]): r["value"] for r in P.sketched_profile(days, "2024-01-02", "2024-01-03").collect()}
+    exact = df.where("to_date(t) between '2024-01-02' and '2024-01-03'")
+    assert part["rows", "rows"] == exact.count() and abs(part["distinct", "k"] - exact.select("k").distinct().count()) < 150
+    none = {(r["section"], r["key"]): r["value"] for r in P.sketched_profile(days, "2030-01-01").collect()}
+    assert none["rows", "rows"] == 0
+    approx = {(r["section"], r["key"]): r["value"] for r in P.data_profile(df, "k", "t", ["k"], 3, approximate=True).collect()}
+    assert abs(approx["table", "entities"] - 5000) < 150 and abs(approx["distinct", "k"] - 5000) < 150
