@@ -242,7 +242,8 @@ def _(v):
 
 @query("score_fusion", """
     SELECT entity, CAST(date AS VARCHAR) AS date, round(c, 8) + 0.0 AS combined, round(greatest(1, least(5, abs(c) * 5)), 8) AS leverage, CASE WHEN c > 0 THEN 'LONG' WHEN c < 0 THEN 'SHORT' ELSE 'FLAT' END AS side
-    FROM (SELECT entity, date, 0.7::DOUBLE * CASE WHEN abs(signal_score) < 0.0195 THEN 0 ELSE greatest(-1, least(1, signal_score / 0.0975)) END + 0.3::DOUBLE * coalesce(round(market_index / 100.0, 2), 0) AS c FROM v_signals LEFT JOIN v_market_index USING (date))""")
+    FROM (SELECT entity, date, 0.7::DOUBLE * CASE WHEN abs(signal_score) < 0.0195 THEN 0 ELSE greatest(-1, least(1, signal_score / 0.0975)) END + 0.3::DOUBLE * coalesce(round(market_index / 100.0, 2), 0) AS c
+          FROM (SELECT entity, date, round(discount - 0.05, 6) + 0.0 AS signal_score FROM v_daily_bars) LEFT JOIN v_market_index USING (date))""")
 def _(v):
     rows = v.signals.join(v.market_index, "date", "left")
     price = M.threshold_normalise("signal_score", F.lit(0.0195))
