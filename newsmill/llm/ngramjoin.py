@@ -21,10 +21,10 @@ from newsmill.llm.textarrays import blob, chunks, mix, pack40, unpack40
 from newsmill.session import materialize
 
 SHINGLE, SHARE = 5, 75
-BLOCK_ENTRIES = 2_000_000   # incidence entries a block (or a part of documents) is sized for
+BLOCK_ENTRIES = 1_000_000   # incidence entries a block (or a part of documents) is sized for
 # per turn: how many ways a group's n-grams choose leaders, and how many each; then all pairs of components meet
 LEADERS = ((4, 1), (1 << 30, 4), (1 << 30, 24))
-FLUSH_ENTRIES = 1_500_000   # entries a map task holds before it sends its blocks
+FLUSH_ENTRIES = 600_000   # entries a map task holds before it sends its blocks
 _U = np.uint64
 _LOW = _U((1 << 40) - 1)
 _KEY = "block int, sig binary, n binary, count binary, ids binary"
