@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from newsmill.session import materialize
 
-ROWS_PER_BLOCK = 50_000
+ROWS_PER_BLOCK = 5_000
 
 
 def word_count(text: str | Column) -> Column:
