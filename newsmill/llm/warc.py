@@ -10,6 +10,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 import zstandard
@@ -86,21 +87,23 @@ class BundleReader:
         return self.frame(frame)[offset:offset + length]
 
 
-def warc_record(record_id: str, uri: str, payload: bytes, payload_bytes: int, digest: str, refers_to: str | None) -> bytes:
-    """One WARC/1.1 resource-style record; a revisit carries the payload's digest and length but not the payload."""
-    head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", f"<{record_id}>"),
+def warc_record(record_id: str, uri: str, payload: bytes, payload_bytes: int, digest: str, refers_to: str | None, date: str) -> bytes:
+    """One WARC/1.1 record: a response with the payload behind an HTTP header, or a revisit that carries the payload's digest and length but not the payload."""
+    kind = "response" if refers_to is None else "revisit"
+    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<{record_id}>"), ("WARC-Date", date),
             ("WARC-Target-URI", uri.replace("\r", "%0D").replace("\n", "%0A")), ("WARC-Payload-Digest", f"sha256:{digest}"),
             ("X-Payload-Length", str(payload_bytes))]
     if refers_to is not None:
         head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
                  ("WARC-Refers-To", f"<{refers_to}>")]
         payload = b""
-    head += [("Content-Type", "text/html"), ("Content-Length", str(len(payload)))]
-    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode() + payload + b"\r\n\r\n"
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {payload_bytes}\r\n\r\n".encode() + payload
+    head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
+    return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode() + block + b"\r\n\r\n"
 
 
 def parse_records(frame: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(offset, headers, payload) of every record of a decompressed frame."""
+    """(offset, headers, payload behind the HTTP header) of every record of a decompressed frame."""
     at = 0
     while at < len(frame):
         end = frame.index(b"\r\n\r\n", at)
@@ -109,17 +112,19 @@ def parse_records(frame: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
             raise ValueError(f"no WARC record at {at}")
         head = dict(x.split(": ", 1) for x in lines[1:])
         size = int(head["Content-Length"])
-        yield at, head, frame[end + 4:end + 4 + size]
+        block = frame[end + 4:end + 4 + size]
+        yield at, head, block[block.index(b"\r\n\r\n") + 4:]
         at = end + 4 + size + 4
 
 
-def page_urn(page_id) -> str:
-    return f"urn:page:{'' if page_id is None else page_id}"
+def page_urn(page_id, place: str = "") -> str:
+    """The record identifier of a page; one without an id, which nothing refers to, is named by its ``place`` in the bundles."""
+    return f"urn:page:#{place}" if page_id is None else f"urn:page:{page_id}"
 
 
 def urn_page(urn: str) -> int | None:
     text = urn.strip("<>").removeprefix("urn:page:")
-    return int(text) if text else None
+    return None if text.startswith("#") else int(text)
 
 
 def revisit_plan(pages: DataFrame, key: str = "page_id", html: str = "html", min_bytes: int = MIN_DEDUP_BYTES) -> DataFrame:
@@ -136,7 +141,7 @@ def revisit_plan(pages: DataFrame, key: str = "page_id", html: str = "html", min
 
 
 def write_bundles(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html",
-                  min_bytes: int = MIN_DEDUP_BYTES, frame_bytes: int = FRAME_BYTES) -> DataFrame:
+                  min_bytes: int = MIN_DEDUP_BYTES, frame_bytes: int = FRAME_BYTES, date: str | None = None) -> DataFrame:
     """Write every page as a WARC record and return the index (file, frame, offset, length, record_id).
 
     ``path`` is a folder that all executors reach (any filesystem pyarrow knows, by its URI).  Each task writes one file
@@ -146,8 +151,9 @@ def write_bundles(pages: DataFrame, path: str, key: str = "page_id", url: str =
     A page whose payload (html in UTF-8, null as empty) of at least ``min_bytes`` bytes equals that of a page with a
     smaller id is a revisit of the smallest such page.  Rows that share page_id and payload are all responses (or all
     revisits of the same page); a null page_id is never referred to unless all its equals are null, then all are
-    responses.  Null urls are empty.  Other columns are ignored; an empty table writes nothing."""
-    spark = pages.sparkSession
+    responses.  Null urls are empty.  Records of pages without an id are named by their place, those of rows that share an id share a name.  ``date``
+    is the WARC-Date of all records, by default the time of the call.  Other columns are ignored; an empty table writes nothing."""
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     plan = revisit_plan(pages, key, html, min_bytes).withColumnsRenamed({"page_id": "_page", "digest": "_digest"})
     rows = pages.select(F.col(key).alias("page_id"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"),
                         F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8").alias("payload"))
@@ -158,7 +164,7 @@ def write_bundles(pages: DataFrame, path: str, key: str = "page_id", url: str =
                        "refers_to", F.col("_digest").isNotNull().alias("revisit"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, sink, name, store, root = None, None, None, None, None
+        writer, sink, name, store, root, written = None, None, None, None, None, 0
         index: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
@@ -174,9 +180,10 @@ def write_bundles(pages: DataFrame, path: str, key: str = "page_id", url: str =
                     store.create_dir(root, recursive=True)
                     sink = store.open_output_stream(f"{root}/{name}", compression=None)
                     writer = BundleWriter(sink, frame_bytes)
-                urn = page_urn(ids[i].as_py())
+                urn = page_urn(ids[i].as_py(), f"{name.removesuffix('.warc.zst')}-{written}")
+                written += 1
                 record = warc_record(urn, urls[i].as_py(), payloads[i].as_py() or b"", sizes[i].as_py(), digests[i].as_py(),
-                                     page_urn(refers[i].as_py()) if revisit[i].as_py() else None)
+                                     page_urn(refers[i].as_py()) if revisit[i].as_py() else None, date)
                 index.append((name, *writer.add(record), urn))
             if len(index) >= 20_000:
                 yield flush()

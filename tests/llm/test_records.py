@@ -47,10 +47,13 @@ def test_warc_pages(spark):
         refers = 3 if p is None and h == big else least.get(p)
         want.append((p, len(b), hashlib.sha256(b).hexdigest(), "revisit" if refers is not None else "response", refers))
     assert got == sorted(want, key=repr)
-    for r in index.collect():
+    records = index.collect()
+    nameless = [r["record_id"] for r in records if warc.urn_page(r["record_id"]) is None]
+    assert len(set(nameless)) == len(nameless) == sum(p is None for p, _, _ in rows)
+    for r in records:
         head, payload = warc.read_record(folder, r["file"], r["frame"], r["offset"], r["length"])
-        assert head["WARC-Record-ID"] == f"<{r['record_id']}>"
-        if head["WARC-Type"] == "response" and r["record_id"] != "urn:page:":
+        assert head["WARC-Record-ID"] == f"<{r['record_id']}>" and head["WARC-Date"].endswith("Z")
+        if head["WARC-Type"] == "response" and warc.urn_page(r["record_id"]) is not None:
             assert payload == (next(h for p, _, h in rows if warc.page_urn(p) == r["record_id"]) or "").encode()
     empty = warc.write_bundles(df.where("false"), warc.bundle_folder(spark))
     assert empty.count() == 0 and warc.read_bundles(spark, folder, empty).count() == 0
