@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from newsmill.functions.market import clip
 
 
-LONG_FRAME = 32  # frames of more rows are put together from two running statistics
+LONG_FRAME = 128  # frames of more rows are put together from two running statistics
 
 
 class Rolling:
@@ -26,13 +26,15 @@ class Rolling:
         self.df = df
         self._singles: dict[int, list] = {}
         self._pairs: dict[int, list] = {}
+        self._past: dict[int, bool] = {}
 
     def position(self, name: str = "position") -> "Rolling":
         self.df = self.df.withColumn(name, F.row_number().over(self.w) - 1)
         return self
 
-    def prepare(self, n: int, cols=(), pairs=()) -> "Rolling":
-        """Make the running statistics that frames of ``n`` rows of ``cols``, and of the pairs of columns ``pairs``, are put together from.  Frames of up to LONG_FRAME rows need none."""
+    def prepare(self, n: int, cols=(), pairs=(), past: bool = False) -> "Rolling":
+        """Make the running statistics that frames of ``n`` rows of ``cols``, and of the pairs of columns ``pairs``, are put together from, and the two parts of
+        the frame that ends with each row (with ``past``, also of the one that ends before it); other frames look theirs up per use.  Frames of up to LONG_FRAME rows need none."""
         if n <= LONG_FRAME or n in self._singles:
             return self
         chunk, row, first, last = f"__chunk{n}", f"__row{n}", f"__before{n}", f"__behind{n}"
@@ -50,19 +52,26 @@ class Rolling:
                 fields += [k.alias(f"pn{i}"), F.avg(F.when(both, F.col(a))).over(run).alias(f"pa{i}"), F.avg(F.when(both, F.col(b))).over(run).alias(f"pb{i}"),
                            (F.covar_pop(a, b).over(run) * k).alias(f"pc{i}")]
             df = df.withColumn(name, F.struct(*fields))
-        self.df = df
-        self._singles[n], self._pairs[n] = list(cols), list(pairs)
+        looked = {f"__head{n}": F.lag(last, n - 1).over(self.w)}
+        if past:
+            looked |= {f"__pasttail{n}": F.lag(first, 1).over(self.w), f"__pasthead{n}": F.lag(last, n).over(self.w)}
+        self.df = df.withColumns(looked)
+        self._singles[n], self._pairs[n], self._past[n] = list(cols), list(pairs), past
         return self
 
     def drop_prepared(self) -> DataFrame:
         """The series without the columns of :meth:`prepare`."""
-        return self.df.drop(*[f"__{p}{n}" for n in self._singles for p in ("chunk", "row", "before", "behind")])
+        return self.df.drop(*[f"__{p}{n}" for n in self._singles for p in ("chunk", "row", "before", "behind", "head", "pasttail", "pasthead")])
 
     def _ends(self, n: int, lo: int, hi: int) -> tuple[Column, Column]:
         """Statistics of the frame's rows in the chunk of its last row, and of those in the chunk before (null if none)."""
         before, behind = F.col(f"__before{n}"), F.col(f"__behind{n}")
-        tail = before if hi == 0 else F.lag(before, -hi).over(self.w)
-        head = behind if lo == 0 else F.lag(behind, -lo).over(self.w)
+        if hi == 0:
+            tail, head = before, F.col(f"__head{n}")
+        elif hi == -1 and self._past[n]:
+            tail, head = F.col(f"__pasttail{n}"), F.col(f"__pasthead{n}")
+        else:
+            tail, head = F.lag(before, -hi).over(self.w), F.lag(behind, -lo).over(self.w)
         return tail, F.when(head["chunk"] < tail["chunk"], head)
 
     def _merged(self, name: str, lo: int, hi: int, *keys: str):

@@ -111,7 +111,7 @@ def beta_residuals(bars: DataFrame, benchmark: str, window: int = 720, entity="e
     w = W.partitionBy(entity).orderBy(ts)
     change = lambda c: F.coalesce(M.relative_change(c, F.lag(c).over(w)), F.lit(0.0))
     roll = Rolling(pairs.withColumns({"y": change("__close"), "x": change("__bench")}), entity, ts).position()
-    roll.prepare(window, ["x", "y"], [("x", "y")])
+    roll.prepare(window, ["x", "y"], [("x", "y")], past=True)
     prior = (-window, -1)
     usable = (F.col("position") >= window) & ~roll.flat("x", *prior)
     beta = F.when(usable, F.try_divide(roll.covariance("x", "y", *prior), roll.variance("x", *prior)))
@@ -169,7 +169,7 @@ def residual_features(residuals: DataFrame, volume: DataFrame | None, frames: Re
     tail = lambda n: (-(n - 1), 0)
     prior = (-frames.month, -1)
     pair = [("lagged", "r")]
-    roll.prepare(frames.month, ["r", "v"]).prepare(frames.fortnight, ["r"]).prepare(frames.week, ["r"]).prepare(frames.short, ["r"])
+    roll.prepare(frames.month, ["r", "v"], past=True).prepare(frames.fortnight, ["r"]).prepare(frames.week, ["r"]).prepare(frames.short, ["r"])
     for n in (frames.week, frames.fortnight):  # n values give n - 1 neighbouring pairs
         roll.prepare(n - 1, ["lagged", "r"], pair)
     v_std = roll.std("v", *prior)

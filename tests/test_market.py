@@ -276,14 +276,16 @@ def plain(f, part, least=1):
 
 
 @pytest.mark.parametrize("n", [33, 40, 64])
-def test_long_frames_are_the_plain_ones(spark, n):
+def test_long_frames_are_the_plain_ones(spark, monkeypatch, n):
     """Nulls, NaN, level drops, flat stretches, series shorter than the frame and tied times, for trailing and strictly earlier frames."""
+    from newsmill.operators import rolling
+    monkeypatch.setattr(rolling, "LONG_FRAME", 32)
     rng = np.random.default_rng(n)
     series = {"a": [1e10] * 10 + [100.0 + i % 4 for i in range(120)], "b": [1.0, 2.0, float("nan")] + rng.normal(size=200).tolist(),
               "c": [None if rng.random() < 0.3 else float(v) for v in rng.normal(size=150)], "d": [5.0] * 90 + [6.0] * 90, "e": [1.0, None], "f": [None] * 80}
     rows = [(k, i, v, None if i % 7 == 3 else float((i * i) % 11) + (v or 0.0)) for k, x in series.items() for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "k string, i int, x double, y double").repartition(3)
-    roll = Rolling(df, "k", "i").prepare(n, ["x"], [("x", "y")])
+    roll = Rolling(df, "k", "i").prepare(n, ["x"], [("x", "y")], past=n != 40)
     for name, (lo, hi) in {"tail": (-(n - 1), 0), "past": (-n, -1), "older": (-n - 4, -5)}.items():
         roll.df = roll.df.withColumns({f"{name}_n": roll.count("x", lo, hi), f"{name}_m": roll.mean("x", lo, hi), f"{name}_v": roll.variance("x", lo, hi),
                                        f"{name}_flat": roll.flat("x", lo, hi), f"{name}_c": roll.covariance("x", "y", lo, hi), f"{name}_s": roll.sum("x", lo, hi)})
@@ -310,7 +312,7 @@ def test_long_frames_are_the_plain_ones(spark, n):
 def test_cost_of_long_frames_does_not_follow_their_length(spark):
     """No sliding frame is left in the plan: running frames and lags only."""
     df = spark.range(10).selectExpr("id % 3 AS k", "id AS i", "double(id) AS x", "double(id) AS y")
-    roll = Rolling(df, "k", "i").prepare(720, ["x"], [("x", "y")])
+    roll = Rolling(df, "k", "i").prepare(720, ["x"], [("x", "y")], past=True)
     out = roll.df.select(roll.std("x", -719), roll.mean("x", -720, -1), roll.covariance("x", "y", -719), roll.count("x", -719))
     text = out._jdf.queryExecution().executedPlan().toString()
     frames = set(re.findall(r"specifiedwindowframe\(RowFrame, ([^,]+), ([^)]+)\)", text))
