@@ -19,7 +19,8 @@ PUB = "strftime(published_on, '%Y-%m-%d %H:%M:%S') AS published_on"
 def _(v):
     """Article CSV round trip with quotes, commas and line breaks in the body."""
     path = scratch_path(v.spark, "articles-csv")
-    sinks.write_articles_csv(v.articles.repartition(16, "id"), path)
+    # a file is one task when it is read again, so files follow the rows
+    sinks.write_articles_csv(v.articles.repartition(max(16, -(-v.articles.count() // 100_000)), "id"), path)
     rows = readers.read_articles_csv(v.spark, path)
     text = ["categories", "tags", "imageurl", "body"]
     return rows.withColumns({c: F.coalesce(c, F.lit("")) for c in text}).withColumn("body_md5", F.md5("body")).drop("body")
@@ -31,7 +32,7 @@ def _(v):
     """Nested feed pages, written and parsed again (one page per line, so files split)."""
     path = scratch_path(v.spark, "feed-json")
     sinks.write_feed_json(v.articles, path)
-    pages = v.spark.read.schema(readers.FEED_SCHEMA).json(path)
+    pages = readers.read_feed_json(v.spark, path, page_per_line=True)
     return readers.feed_articles(pages).drop("body", "imageurl")
 
 

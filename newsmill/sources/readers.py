@@ -44,9 +44,9 @@ def read_articles_csv(spark: SparkSession, path) -> DataFrame:
     return rows.withColumn("has_image", F.col("has_image") == "Yes")
 
 
-def read_feed_json(spark: SparkSession, path) -> DataFrame:
-    """One row per feed page file."""
-    return spark.read.schema(FEED_SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+def read_feed_json(spark: SparkSession, path, page_per_line: bool = False) -> DataFrame:
+    """One row per feed page: a file each, or a line each, so that files are split among tasks."""
+    return spark.read.schema(FEED_SCHEMA).option("multiLine", not page_per_line).option("mode", "PERMISSIVE").json(path)
 
 
 def is_feed_error():
