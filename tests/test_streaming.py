@@ -149,3 +149,38 @@ def test_refresh_reads_only_what_depends_on_the_changed_days(spark, tmp_path, ro
     assert read == {("a", day(n)) for n in want_days} | {("c", dt.date(1970, 1, 1))}
     fresh = sorted(rows(build(frame(now)).select("k", "date", "total")))
     assert sorted(rows(spark.read.parquet(table).select("k", "date", "total"))) == fresh
+
+
+class _V:
+    def __init__(self, spark):
+        self.spark = spark
+
+
+def _landing(stream):
+    """Rows of every landed file in the order in which the stream takes them."""
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+    files = glob.glob(f"{stream}/*.parquet")
+    return [pq.read_table(f).to_pylist() for f in sorted(files, key=os.path.getmtime)]
+
+
+def _paths(monkeypatch):
+    from newsmill.registry import streams as R
+    paths, make = {}, R.scratch_path
+
+    def kept(spark, name):
+        paths[name] = make(spark, name)
+        return paths[name]
+    monkeypatch.setattr(R, "scratch_path", kept)
+    return R, paths
+
+
+def test_files_follow_the_size_of_texts(spark, monkeypatch):
+    R, paths = _paths(monkeypatch)
+    monkeypatch.setattr(R, "BYTES_PER_FILE", 10_000)
+    rows = spark.createDataFrame([(i, "x" * 1000, None) for i in range(200)], "id int, body string, none string")
+    R._landed(_V(spark), rows)
+    files = _landing(paths["landing"])
+    assert len(files) >= 20 and sum(map(len, files)) == 200 and max(map(len, files)) <= 20
