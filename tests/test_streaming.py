@@ -177,6 +177,21 @@ def _paths(monkeypatch):
     return R, paths
 
 
+def test_rows_are_dealt_to_files_by_time_in_one_shuffle(spark, monkeypatch):
+    """No task reads the whole table: every landed file is read from its own range, and rows of one time may share several."""
+    R, paths = _paths(monkeypatch)
+    monkeypatch.setattr(R, "ROWS_PER_FILE", 50)
+    rows = spark.createDataFrame([(i, at(minutes=i // 300 * 60)) for i in range(600)] + [(-1, None)], "id int, published_on timestamp").repartition(5)
+    late = spark.createDataFrame([(i, at()) for i in range(100)], "id int, published_on timestamp")
+    R._landed_in_time(_V(spark), rows, "published_on", rows.limit(1), R._in_files(late))
+    files = [f for f in _landing(paths["landing"]) if f]
+    own, behind = files[:-5], files[-4:]
+    assert sorted(r["id"] for f in own for r in f) == [-1, *range(600)] and max(map(len, own)) < 150 and len(files[-5]) == 1
+    times = [sorted(r["published_on"] is not None and r["published_on"].replace(tzinfo=None) or T0 for r in f) for f in own]
+    assert all(a[-1] <= b[0] for a, b in zip(times, times[1:]))
+    assert sorted(r["id"] for f in behind for r in f) == list(range(100))
+
+
 def test_files_follow_the_size_of_texts(spark, monkeypatch):
     R, paths = _paths(monkeypatch)
     monkeypatch.setattr(R, "BYTES_PER_FILE", 10_000)
