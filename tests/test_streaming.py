@@ -199,3 +199,18 @@ def test_files_follow_the_size_of_texts(spark, monkeypatch):
     R._landed(_V(spark), rows)
     files = _landing(paths["landing"])
     assert len(files) >= 20 and sum(map(len, files)) == 200 and max(map(len, files)) <= 20
+
+
+def test_stream_dedup_counts_every_url_once(spark, monkeypatch):
+    """A url that comes again after the watermark span is one url; a missing url and a missing time are rows like others."""
+    from newsmill import registry
+    R, _ = _paths(monkeypatch)
+    v = _V(spark)
+    v.articles = spark.createDataFrame([("a", at()), ("a", at()), ("a", at(days=3)), ("b", at(days=1)), ("c", None), (None, at(hours=5)), (None, at(days=9))],
+                                       "url string, published_on timestamp")
+    sent = []
+    monkeypatch.setattr(R, "_run", lambda v, start, run=R._run: sent.append(run(v, start)) or sent[-1])
+    got = registry.QUERIES["stream_dedup"][0](v).collect()
+    assert sorted((r["url"] or "", r["urls"]) for r in got) == [("", 4), ("a", 4), ("b", 4), ("c", 4)]
+    # the stream itself drops what is sent twice within the span, and the late copy of everything
+    assert sent[0].filter("NOT closing").count() == 6
