@@ -282,6 +282,18 @@ def jaccard_got(df):
     return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngramjoin.ngram_jaccard(df).collect()), key=repr)
 
 
+def test_incidence_runs_carry_no_more_than_their_set_and_entries():
+    """Where every entry is a run of its own, as in many blocks, a run takes some 14 bytes on its way, and numbers survive it."""
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    n = 4000
+    rows = list(ngramjoin._packed(np.zeros(n, np.int64), np.arange(n), rng.integers(-2**63, 2**63, n), [rng.integers(0, 2**40, n).astype(np.uint64)], [ngramjoin.pack40]))
+    sent = sum(len(pa.compress(x, "lz4_raw", asbytes=True)) for row in rows for x in row[1:])
+    assert sent < 14 * n
+    numbers = np.array([0, 1, 255, 256, 70_000, 2**31 - 1])
+    assert ngramjoin.unplanes(ngramjoin.planes(numbers)).tolist() == numbers.tolist() and len(ngramjoin.unplanes(b"")) == 0
+
+
 def test_ngram_jaccard(spark, docs, odd_docs):
     for df in (docs, odd_docs):
         assert jaccard_got(df) == sorted(jaccard_rows([(r["doc_id"], r["text"]) for r in df.collect()]), key=repr)
