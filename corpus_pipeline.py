@@ -20,7 +20,7 @@ def with_row(docs: DataFrame) -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the perplexity band of their language."""
     rows = with_row(docs)
-    return perplexity.keep_quality(rows, perplexity.quality_rules(rows, ROW), ROW).drop(ROW)
+    return perplexity.keep_quality(rows, perplexity.quality_rules(rows, ROW, symbols="characters"), ROW).drop(ROW)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
