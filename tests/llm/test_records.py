@@ -2,7 +2,9 @@
 
 import hashlib
 import io
+import threading
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -170,6 +172,79 @@ def test_near_vectors_of_the_table(spark):
     assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=repr) == brute_links(rows, 0.95)
 
 
+@pytest.mark.parametrize("dim", [64, 5, 1])
+def test_cells_meet_every_near_pair_once(monkeypatch, dim):
+    for name, n in (("GRID_ROWS", 1), ("CELL_ROWS", 4), ("PRODUCT", 5_000), ("PAIRS", 50)):
+        monkeypatch.setattr(vectorjoin, name, n)
+    rng = np.random.default_rng(5)
+    centers = rng.standard_normal((12, dim))
+    noise = np.linspace(0, 0.4, 700)[:, None]
+    v = (np.where(noise % 0.1 < 0.05, centers[rng.integers(0, 12, 700)], rng.standard_normal((700, dim))) + noise * rng.standard_normal((700, dim))).astype(np.float32)
+    x = v.astype(float)
+    norm = np.sqrt((x * x).sum(1))
+    near = {(a, b) for a, b in zip(*np.nonzero(x @ x.T / np.outer(norm, norm) >= 0.95)) if a < b}
+    space, count = vectorjoin.Subspaces(dim, 0.95), np.ones(700, np.int64)
+    side = vectorjoin._Side(space, np.arange(700), count, v)
+    found = []
+
+    def add(a, b, i, j):
+        found.extend(tuple(sorted(p)) for p in zip(a.rep[i].tolist(), b.rep[j].tolist()))
+
+    residents = vectorjoin._Residents(space, 0.95, side.slice(0, 400))
+    assert dim < 5 or max(len(g.starts) for g in residents.grids) > 50
+    for lo in (0, 150, 300):
+        residents.compare(side.slice(lo, min(lo + 150, 400)), lo, add)
+    residents.compare(side.slice(400, 700), None, add)
+    assert len(found) == len(set(found)) and set(found) == {p for p in near if p[0] < 400}
+
+
+def test_rounds_compare_every_two_chunks_once():
+    sizes = {64: 15_000_000, 3: 1, 5: 7000}
+    chunks, rounds = vectorjoin._rounds(sizes, 4, None)
+    pairs = sorted((u.dim, u.own, c) for units in rounds for u in units for c in range(u.first, u.last))
+    assert pairs == [(d, a, b) for d in (5, 64) for a in range(chunks[d]) for b in range(a, chunks[d])] and 3 not in chunks
+    total = sum(n * (4 * d + 16) for d, n in sizes.items())
+    assert all(sum(u.size for u in units) <= 1.5 * total for units in rounds)
+    assert max(u.size for units in rounds for u in units) < 300_000_000
+
+
+def test_shuffles_hold_the_vectors_a_few_times(spark, monkeypatch):
+    """However many cells, tiles and rounds there are."""
+    monkeypatch.setattr(vectorjoin, "ROUND_BYTES", 1, raising=False)
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((6000, 64)).astype(np.float32)
+    v[3000:3100] = v[0] + 0.05 * rng.standard_normal((100, 64))
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<float>")
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
+    here = [str(f.getPath()) for f in folders]
+
+    def held():
+        total = 0
+        for path in (p for f in here for p in Path(f).glob("*/shuffle_*")):
+            try:
+                total += path.stat().st_size
+            except FileNotFoundError:
+                pass
+        return total
+
+    before, most, ended = held(), [0], threading.Event()
+
+    def watch():
+        while not ended.wait(0.02):
+            most[0] = max(most[0], held() - before)
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        got = {r["vec_id"]: r["n_links"] for r in vectorjoin.near_vectors(df, 0.95, tile=600).collect()}
+    finally:
+        ended.set()
+        watcher.join()
+    assert most[0] < 4 * v.nbytes
+    x = v.astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert [got[i] for i in range(6000)] == ((x @ x.T >= 0.95).sum(1) - 1).tolist()
+
+
 # ------------------------------------------------------------------------------------------------ components
 def test_components(spark):
     rng = np.random.default_rng(3)
